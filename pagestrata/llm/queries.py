@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ngram_join import ngram_classes
 from .substring_dedup import substring_dedup
 
 
@@ -17,5 +18,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, length=13, digest=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_classes(_table(spark, sf_dir, "documents"), shingle=3, percent=90).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join)}
 ORACLES: dict[str, str] = {}
