@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mixing import mix_sources
 from .ngram_join import ngram_classes
+from .packing import pack_documents
 from .substring_dedup import substring_dedup
 
 
@@ -22,5 +24,21 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(_table(spark, sf_dir, "documents"), shingle=3, percent=90).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join)}
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), weights=(3.0, 1.0, 2.0), share=1.5, most=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join, op6_best_fit_packing, op7_source_mixing)}
 ORACLES: dict[str, str] = {}
