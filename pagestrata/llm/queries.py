@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .langid import identify_languages
 from .mixing import mix_sources
 from .ngram_join import ngram_classes
 from .packing import pack_documents
+from .quality import quality_scores
 from .substring_dedup import substring_dedup
 
 
@@ -40,5 +42,15 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join, op6_best_fit_packing, op7_source_mixing)}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, _table(spark, sf_dir, "labels"), threshold=0.7).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join, op6_best_fit_packing, op7_source_mixing, op9_quality_classifier, op10_language_id)}
 ORACLES: dict[str, str] = {}
