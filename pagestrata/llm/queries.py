@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import digests, format_paths, threads
+from .html_extract import extract_main_text
 from .langid import identify_languages
 from .media import media_columns
 from .mixing import mix_sources
@@ -13,6 +14,7 @@ from .ngram_join import ngram_classes
 from .packing import pack_documents
 from .quality import quality_scores
 from .substring_dedup import substring_dedup
+from .topk_search import exact_top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,5 +67,21 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_paths(threads(turns.union(extra)), branches=1))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join, op4_media_columns, op5_chat_formatting, op6_best_fit_packing, op7_source_mixing, op9_quality_classifier, op10_language_id)}
-ORACLES: dict[str, str] = {}
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_exact_top_k, op3_ngram_jaccard_join, op4_media_columns, op5_chat_formatting, op6_best_fit_packing, op7_source_mixing, op8_html_extraction, op9_quality_classifier, op10_language_id)}
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS z FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20""",
+}
