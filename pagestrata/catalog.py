@@ -1,6 +1,401 @@
-"""All registered queries and their SQL counterparts."""
+"""All registered queries of page analytics and their SQL counterparts; the SQL runs over the same whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import geometry as G
+from .functions import text as X
+from .functions import vocabulary as V
+from .operators import labels as L
+from .operators import pages as P
+from .shipping import ship
+from .sources import evaluation_pair, page_lines, segments, table, text_pages
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+# lines that hold evidence the test tables lack, added to theirs in both engines
+EXTRA = [
+    "Fig. 1 Bohrprofil", "Figure 2.1: log of borehole", "Tab 3.1.2", "1.2.3", "This is Fig. 1", "12 Sand", "123 m", "Abbildungen are useful", "01.02.2001", "januar 2000", "mai 2000", "2026", "märz 1850",
+    "tel. 044 123 45 67", "0041 44 123 45 67", "044 123 45 67", "tel +41 44 123 45 67", "+41 44 123 45 67", "1:25000", "1:50'000", "1:100'000", "1:25'000", "1:500", "1 : 25000", "Kies und Sand, grau", "projekt sand",
+    "geologischer schnitt", "längsprofil A", "bohrung 12", "Projekt Bericht", "legende karte", "karte tabelle", "PAGE DE GARDE No AGS numéro ou signe distinctif original Commettants", "PAGE DE GARDE No AGS Commettants",
+]
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _docs(spark, sf_dir):
+    ship(spark)
+    return table(spark, sf_dir, "documents")
+
+
+def _pages(spark, sf_dir) -> DataFrame:
+    return text_pages(_docs(spark, sf_dir))
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    """doc_id, page, lno, text of all lines and the extra ones, whose doc_id is -1."""
+    extra = spark.createDataFrame([(-1, 1, i, t) for i, t in enumerate(EXTRA)], "doc_id long, page int, lno int, text string")
+    return page_lines(_pages(spark, sf_dir)).select("doc_id", "page", "lno", "text").union(extra)
+
+
+_WORDS = r"""toks AS (SELECT doc_id, par, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS wi FROM (SELECT doc_id, par, regexp_extract_all(ptext, '\S+') AS ws
+ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS ptext, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS par FROM documents))),
+seg AS (SELECT *, wi // 12 AS seg, sum(length(word) + 1) OVER (PARTITION BY doc_id, par, wi // 12 ORDER BY wi) - length(word) - 1 AS off FROM toks),
+lin0 AS (SELECT doc_id, par, seg, string_agg(word, ' ' ORDER BY wi) AS text, count(*) AS n_words, row_number() OVER (PARTITION BY doc_id ORDER BY par, seg) - 1 AS gl FROM seg GROUP BY doc_id, par, seg),
+lin1 AS (SELECT *, CAST(gl // 40 + 1 AS INTEGER) AS page, CAST(gl % 40 AS INTEGER) AS lno FROM lin0),
+lin2 AS (SELECT *, 30.0 * (sum(CASE WHEN seg = 0 AND par > 0 AND lno > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page ORDER BY lno)) AS gap FROM lin1),
+lin AS (SELECT doc_id, page, lno, par, seg, text, CAST(n_words AS INTEGER) AS n_words, 50.0::DOUBLE AS x0, (60 + 14 * lno + gap)::DOUBLE AS y0, (50 + 6 * length(text))::DOUBLE AS x1, (70 + 14 * lno + gap)::DOUBLE AS y1 FROM lin2)"""
+_TL = _WORDS + ", tl AS (SELECT doc_id, page, lno, text FROM lin UNION ALL SELECT * FROM (VALUES " + ", ".join(f"(-1, 1, {i}, {_quoted(t)})" for i, t in enumerate(EXTRA)) + ") v(doc_id, page, lno, text))"
+_BLK = _WORDS + """, b0 AS (SELECT *, CASE WHEN y0 - lag(y1) OVER (PARTITION BY doc_id, page ORDER BY lno) < 15 THEN 0 ELSE 1 END AS br FROM lin),
+b1 AS (SELECT *, sum(br) OVER (PARTITION BY doc_id, page ORDER BY lno) - 1 AS block FROM b0)"""
+
+
+@query(f"WITH {_WORDS} SELECT l.doc_id, l.page, l.lno, CAST(s.wi % 12 AS INTEGER) AS word_no, s.word, (50 + 6 * s.off)::DOUBLE AS x0, (50 + 6 * (s.off + length(s.word)))::DOUBLE AS x1, l.y0, l.y1 FROM seg s JOIN lin l USING (doc_id, par, seg)")
+def words_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = page_lines(_pages(spark, sf_dir))
+    return lines.select("doc_id", "page", "lno", "y0", "y1", F.posexplode("words").alias("word_no", "w")).select("doc_id", "page", "lno", "word_no", F.col("w.text").alias("word"), F.col("w.x0").alias("x0"), F.col("w.x1").alias("x1"), "y0", "y1")
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, page, lno, n_words, text, x0, y0, x1, y1, y1 - y0 AS font_size FROM lin")
+def lines_rebuild(spark, sf_dir):
+    return page_lines(_pages(spark, sf_dir)).select("doc_id", "page", "lno", "n_words", "text", "x0", "y0", "x1", "y1", F.abs(F.col("y1") - F.col("y0")).alias("font_size"))
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM lin GROUP BY ALL")
+def page_extent(spark, sf_dir):
+    return P.extent(_pages(spark, sf_dir))
+
+
+@query(f"WITH {_BLK} SELECT doc_id, page, CAST(block AS INTEGER) AS block, CAST(count(*) AS INTEGER) AS n_lines, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM b1 GROUP BY doc_id, page, block")
+def text_blocks(spark, sf_dir):
+    return P.block_rows(_pages(spark, sf_dir))
+
+
+@query(f"""WITH {_WORDS}, k AS (SELECT doc_id, page, list(x1 ORDER BY lno) AS ks FROM lin GROUP BY ALL),
+f AS (SELECT doc_id, page, ks, list_reduce(ks, lambda a, x: CASE WHEN len(list_filter(a, lambda f: abs(f - x) <= 10)) > 0 THEN a ELSE list_append(a, x) END, CAST([] AS DOUBLE[])) AS fs FROM k)
+SELECT doc_id, page, len(fs)::INTEGER AS n_clusters, array_to_string(list_transform(ks, lambda x: list_position(list_transform(fs, lambda f: abs(f - x) <= 10), true) - 1), ',') AS clusters FROM f""")
+def greedy_clusters_x1(spark, sf_dir):
+    """Lines of each page by right edge."""
+    c = _pages(spark, sf_dir).select("doc_id", "page", G.greedy_clusters(F.transform("lines", lambda x: x["x1"])).alias("c"))
+    return c.select("doc_id", "page", (F.array_max("c") + 1).cast("int").alias("n_clusters"), F.array_join(F.transform("c", lambda x: x.cast("string")), ",").alias("clusters"))
+
+
+@query(r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{Nl}\p{No}]{5,}')) AS INTEGER) AS n FROM documents")
+def nontrivial_word_count(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", X.nontrivial_words(F.col("text")).alias("n"))
+
+
+_CLEAN = r"""list_filter(regexp_split_to_array(array_to_string(list_filter(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '\p{L}')) > 4), ' '), '\s+'), lambda w: length(w) > 1 AND NOT regexp_matches(w, '[0-9]') AND regexp_matches(w, '[a-zA-Zéàèöäüç]'))"""
+
+
+@query(f"SELECT doc_id, CAST(len(t) AS INTEGER) AS n, array_to_string(t, ' ') AS tokens FROM (SELECT doc_id, {_CLEAN} AS t FROM documents)")
+def clean_text_tokens(spark, sf_dir):
+    t = X.clean_tokens(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", F.size(t).alias("n"), F.array_join(t, " ").alias("tokens"))
+
+
+def _line_query(name: str, condition: str, column) -> None:
+    def run(spark, sf_dir):
+        return _lines(spark, sf_dir).where(column(F.col("text"))).select("doc_id", "page", "lno", "text")
+
+    run.__name__ = name
+    query(f"WITH {_TL} SELECT doc_id, page, lno, text FROM tl WHERE {condition}")(run)
+
+
+def _matches(patterns: list[str], text: str = "lower(text)") -> str:
+    return "(" + " OR ".join(f"regexp_matches({text}, {_quoted(p)})" for p in patterns) + ")"
+
+
+def _contains(terms: list[str], text: str = "lower(text)") -> str:
+    return "(" + (" OR ".join(f"contains({text}, {_quoted(t)})" for t in terms) or "false") + ")"
+
+
+_line_query("caption_lines", _matches([X.CAPTION], "text"), lambda t: X.any_of(t, [X.CAPTION]))
+_line_query("date_hits", _matches(X.DATES), lambda t: X.any_of(F.lower(t), X.DATES))
+_line_query("phone_hits", _matches(X.PHONES), lambda t: X.any_of(F.lower(t), X.PHONES))
+_line_query("map_scale_hits", f"len(list_filter(string_split(text, ' '), lambda w: {_matches(X.SCALES, 'w')})) > 0", lambda t: F.exists(F.split(t, " "), lambda w: X.any_of(w, X.SCALES)))
+_line_query("alpha_line_filter", r"len(regexp_extract_all(text, '\p{L}')) > 4", lambda t: F.regexp_count(t, F.lit(r"\p{L}")) > 4)
+_line_query("caption_keywords", " AND ".join(_contains(g) for g in V.CAPTION["en"]), lambda t: X.contains_any(F.lower(t), V.CAPTION["en"][0]) & X.contains_any(F.lower(t), V.CAPTION["en"][1]))
+_line_query("content_clues", f"CAST({_contains(V.TITLE['de'])} AS INT) + CAST({_matches(X.DATES)} AS INT) + CAST({_matches(X.PHONES)} AS INT) >= 1", lambda t: X.contains_any(F.lower(t), V.TITLE["de"]).cast("int") + X.any_of(F.lower(t), X.DATES).cast("int") + X.any_of(F.lower(t), X.PHONES).cast("int") >= 1)
+
+
+def _rule(lang: str, include: dict, exclude: dict) -> str:
+    rule = lambda k: f"({_contains(include[k])} AND NOT {_contains(exclude.get(k, []))})"
+    return f"CASE {lang} WHEN 'fr' THEN {rule('fr')} WHEN 'it' THEN {rule('it')} WHEN 'en' THEN {rule('en')} ELSE {rule('de')} END"
+
+
+def _keyword_query(name: str, include: dict, exclude: dict) -> None:
+    def run(spark, sf_dir):
+        langs = _docs(spark, sf_dir).select("doc_id", "lang")
+        lines = _docs(spark, sf_dir).select("doc_id", "lang", "text")
+        made = text_pages(lines.select(F.struct("doc_id", "lang").alias("doc_id"), "text"))
+        del langs
+        each = page_lines(made).select("doc_id.doc_id", "doc_id.lang", "page", "lno", "text")
+        extra = spark.createDataFrame([(-1, "de", 1, i, t) for i, t in enumerate(EXTRA)], "doc_id long, lang string, page int, lno int, text string")
+        return each.union(extra).where(X.is_description(F.col("text"), F.col("lang"), include, exclude)).select("doc_id", "page", "lno", "text")
+
+    run.__name__ = name
+    query(f"WITH {_TL} SELECT tl.doc_id, page, lno, tl.text FROM tl LEFT JOIN (SELECT doc_id, lang FROM documents) d ON d.doc_id = tl.doc_id WHERE {_rule('coalesce(d.lang, ' + _quoted('de') + ')', include, exclude).replace('lower(text)', 'lower(tl.text)')}")(run)
+
+
+for _name, _inc, _exc in (("keyword_lines_material", V.MATERIAL, V.MATERIAL_NOT), ("keyword_lines_map", V.MAP, V.MAP_NOT), ("boreprofile_keyword_lines", V.BOREPROFILE, {}), ("geo_keyword_lines", V.GEO, {}), ("title_keyword_lines", V.TITLE, {})):
+    _keyword_query(_name, _inc, _exc)
+
+_FRONT = " OR ".join("(10 * (" + " + ".join(f"CAST({_contains(g, 'text')} AS INT)" for g in t) + f") >= {7 * len(t)})" for t in V.FRONT_PAGES)
+
+
+@query(f"WITH {_TL} SELECT doc_id, page, lno, ({_FRONT}) AS is_frontpage FROM tl")
+def front_page_flag(spark, sf_dir):
+    return _lines(spark, sf_dir).select("doc_id", "page", "lno", X.front_page(F.col("text"), V.FRONT_PAGES).alias("is_frontpage"))
+
+
+def _in(words: list[str]) -> str:
+    return ", ".join(map(_quoted, words))
+
+
+_LANG = f"""lc AS (SELECT *, list_transform({_CLEAN}, lambda w: lower(w)) AS ts, CAST(len(regexp_extract_all(text, '[\\p{{L}}\\p{{Nl}}\\p{{No}}]{{5,}}')) AS INTEGER) AS words FROM base),
+ln AS ({" UNION ALL ".join(f"SELECT k, words, {_quoted(g)} AS lang, len(list_filter(ts, lambda t: t IN ({_in(v)}))) AS n FROM lc" for g, v in sorted(V.STOP_WORDS.items()))}),
+ls AS (SELECT k, words, lang, round(n / sum(n) OVER (PARTITION BY k), 6) AS score FROM ln WHERE n > 0)"""
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    return df.withColumn("_s", X.language_scores(F.col("text"), V.STOP_WORDS)).withColumn("words", X.nontrivial_words(F.col("text")))
+
+
+@query(f"WITH base AS (SELECT doc_id AS k, text FROM documents), {_LANG} SELECT k AS doc_id, lang, score FROM ls")
+def language_predict(spark, sf_dir):
+    return _scored(_docs(spark, sf_dir)).select("doc_id", F.explode("_s").alias("s")).select("doc_id", "s.*")
+
+
+@query(f"""WITH base AS (SELECT doc_id AS k, text FROM documents), {_LANG}, r AS (SELECT k, arg_min(lang, (-score, lang)) FILTER (score >= 0.4 AND lang IN ('de', 'fr', 'it', 'en')) AS c, arg_min(lang, (-score, lang)) FILTER (score >= 0.7) AS m FROM ls GROUP BY k)
+SELECT lc.k AS doc_id, CASE WHEN words < 4 THEN 'de' ELSE coalesce(c, 'de') END AS classification_language, CASE WHEN words >= 4 THEN m END AS metadata_language FROM lc LEFT JOIN r ON lc.k = r.k""")
+def page_languages(spark, sf_dir):
+    s = _scored(_docs(spark, sf_dir))
+    return s.select("doc_id", X.classification_language(F.col("_s"), F.col("words")).alias("classification_language"), X.metadata_language(F.col("_s"), F.col("words")).alias("metadata_language"))
+
+
+@query(f"""WITH base AS (SELECT (conv_id, turn) AS k, conv_id, turn, text FROM conversations), {_LANG}, r AS (SELECT k, arg_min(lang, (-score, lang)) FILTER (score >= 0.7) AS m FROM ls GROUP BY k),
+p AS (SELECT conv_id AS filename, turn + 1 AS page, words, CASE WHEN words >= 4 THEN m END AS lang FROM lc LEFT JOIN r ON lc.k = r.k),
+b AS (SELECT filename, lang, round(sum(ln(words) / page), 6) AS score, min(page) AS first, count(*) FILTER (words > 50) AS long, min(page) FILTER (words > 50) AS fl FROM p WHERE lang IS NOT NULL GROUP BY ALL),
+t AS (SELECT filename, arg_max(lang, (score, -first)) AS best FROM b GROUP BY 1),
+o AS (SELECT b.filename, any_value(best) AS best, string_agg(b.lang, ',' ORDER BY fl, b.lang) FILTER (long >= 2 AND b.lang <> best) AS more FROM b JOIN t USING (filename) GROUP BY 1)
+SELECT f.filename, coalesce(best || coalesce(',' || more, ''), '') AS languages FROM (SELECT DISTINCT conv_id AS filename FROM conversations) f LEFT JOIN o USING (filename)""")
+def document_languages(spark, sf_dir):
+    s = _scored(table(spark, sf_dir, "conversations"))
+    return L.document_languages(s.select(F.col("conv_id").alias("filename"), (F.col("turn") + 1).alias("page"), "words", X.metadata_language(F.col("_s"), F.col("words")).alias("lang")))
+
+
+_DENSITY = f"""{_BLK}, ba AS (SELECT doc_id, page, sum(a) AS ba FROM (SELECT doc_id, page, (max(x1) - min(x0)) * (max(y1) - min(y0)) AS a FROM b1 GROUP BY doc_id, page, block) GROUP BY ALL),
+la AS (SELECT doc_id, page, avg(n_words) AS wpl, sum(CASE WHEN n_words > 1 THEN (x1 - x0) * (y1 - y0) ELSE 0 END) AS wa FROM lin GROUP BY ALL)"""
+
+
+@query(f"WITH {_DENSITY} SELECT doc_id, page, round(wpl, 6) AS words_per_line, round(wa / ba, 6) AS density, (wa / ba > 0.5 AND wpl > 3) AS is_text FROM la JOIN ba USING (doc_id, page)")
+def word_density(spark, sf_dir):
+    d = P.word_density(_pages(spark, sf_dir))
+    return d.select("doc_id", "page", F.round("words_per_line", 6).alias("words_per_line"), F.round("density", 6).alias("density"), ((F.col("density") > 0.5) & (F.col("words_per_line") > 3)).alias("is_text"))
+
+
+_EN = lambda inc, exc, t="lin.text": f"({_contains(inc['en'], f'lower({t})')} AND NOT {_contains(exc.get('en', []), f'lower({t})')})"
+_CASCADE = f"""{_DENSITY}, ev AS (SELECT doc_id, page, sum(n_words) AS w, coalesce(sum(n_words) FILTER ({_EN(V.MATERIAL, V.MATERIAL_NOT)}), 0) AS mw, bool_or({_EN(V.BOREPROFILE, {})}) AS bk, bool_or({_EN(V.GEO, {})}) AS gk FROM lin GROUP BY ALL),
+cl AS (SELECT doc_id, page, CASE WHEN wa / ba > 0.5 AND wpl > 3 THEN 'text' WHEN mw > 0 AND mw / w + CASE WHEN bk THEN 0.05 ELSE 0 END > 0.3 THEN 'boreprofile' WHEN gk THEN 'geo_profile' ELSE 'unknown' END AS label FROM la JOIN ba USING (doc_id, page) JOIN ev USING (doc_id, page))"""
+
+
+@query(f"WITH {_CASCADE} SELECT doc_id, page, label FROM cl")
+def page_class_cascade(spark, sf_dir):
+    """Rules that SQL can express; page_class_full adds title layouts."""
+    return P.cascade(_pages(spark, sf_dir), F.lit("en"), title=False)
+
+
+@query(f"WITH {_CASCADE} SELECT doc_id, page, {', '.join(f'CAST(label = {_quoted(c)} AS INTEGER) AS {c}' for c in V.CLASSES)} FROM cl")
+def page_class_onehot(spark, sf_dir):
+    return page_class_cascade(spark, sf_dir).select("doc_id", "page", *L.one_hot("label"))
+
+
+@query(f"WITH {_CASCADE} SELECT doc_id, CAST(count(*) AS INTEGER) AS page_count, string_agg(page || ':' || label, ',' ORDER BY page) AS pages FROM cl GROUP BY doc_id")
+def document_result(spark, sf_dir):
+    g = page_class_cascade(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "label"))).alias("p"))
+    return g.select("doc_id", F.size("p").alias("page_count"), F.array_join(F.transform("p", lambda x: F.concat(x["page"].cast("string"), F.lit(":"), x["label"])), ",").alias("pages"))
+
+
+_STABLE = f"CASE WHEN label IN ({_in(V.STABLE)}) THEN label ELSE 'unknown' END"
+
+
+@query(f"WITH {_CASCADE} SELECT {_STABLE} AS label, count(*) AS n FROM cl GROUP BY 1")
+def stable_profile(spark, sf_dir):
+    return page_class_cascade(spark, sf_dir).groupBy(L.stable_label(F.col("label")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_CASCADE} SELECT doc_id, page, CASE label {' '.join(f'WHEN {_quoted(a)} THEN {_quoted(b)}' for a, b in V.APP_LABELS.items())} ELSE label END AS label FROM cl")
+def app_labels(spark, sf_dir):
+    return page_class_cascade(spark, sf_dir).select("doc_id", "page", L.app_label(F.col("label")).alias("label"))
+
+
+RAW_LABELS = ['`"Title."`', "**MAPS**", "**Map.**", "Geo Profile:", "foo", " Text ", "boreholes", "'table'.", "TITLE_PAGE", "geological profile"]
+_VALID = {c: c for c in V.CLASSES} | V.ALIASES
+
+
+@query(f"""WITH r AS (SELECT * FROM (VALUES {', '.join(f'({_quoted(x)})' for x in RAW_LABELS)}) v(raw)), c AS (SELECT raw, regexp_replace(regexp_replace(regexp_replace(lower(trim(raw)), '[`"'']', '', 'g'), '[.:\\s]+$', '', 'g'), '[*]', '', 'g') AS x FROM r)
+SELECT raw, CASE x {' '.join(f'WHEN {_quoted(a)} THEN {_quoted(b)}' for a, b in _VALID.items())} ELSE 'unknown' END AS label FROM c""")
+def label_normalise(spark, sf_dir):
+    return spark.createDataFrame([(x,) for x in RAW_LABELS], "raw string").select("raw", L.normalise_label(F.col("raw")).alias("label"))
+
+
+_EVAL = """pr AS (SELECT 'doc_' || doc_id AS filename, 1 AS page, CASE WHEN n_chars >= 2000 THEN 'text' WHEN n_chars >= 500 THEN 'map' WHEN n_chars >= 100 THEN 'title_page' ELSE 'unknown' END AS pred FROM documents),
+gt AS (SELECT 'doc_' || doc_id AS filename, 1 AS page, CASE WHEN quality = 1 AND toxic = 0 THEN 'text' WHEN quality = 1 THEN 'map' WHEN toxic = 1 THEN 'title_page' ELSE 'unknown' END AS gt FROM labels)"""
+_CONF = f"{_EVAL}, m AS (SELECT * FROM pr JOIN gt USING (filename, page)), c AS (SELECT label, coalesce(count(*) FILTER (gt = label AND pred = label), 0) AS tp, count(*) FILTER (gt = label AND pred <> label) AS fn, count(*) FILTER (gt <> label AND pred = label) AS fp FROM (VALUES {', '.join(f'({_quoted(c)})' for c in V.CLASSES)}) v(label) CROSS JOIN m GROUP BY label), prf AS (SELECT label, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r, tp, fn, fp FROM c), prf2 AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM prf)"
+
+
+def _pair(spark, sf_dir):
+    return evaluation_pair(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(f"WITH {_CONF} SELECT label, tp, fn, fp FROM c")
+def eval_confusion(spark, sf_dir):
+    return L.confusion(*_pair(spark, sf_dir))
+
+
+@query(f"WITH {_CONF} SELECT label, round(p, 6)::DOUBLE AS precision, round(r, 6)::DOUBLE AS recall, round(f, 6)::DOUBLE AS f1 FROM prf2")
+def eval_prf(spark, sf_dir):
+    return L.scores(eval_confusion(spark, sf_dir))
+
+
+@query(f"WITH {_CONF} SELECT round(avg(round(p, 6)), 5) AS precision, round(avg(round(r, 6)), 5) AS recall, round(avg(round(f, 6)), 5) AS f1 FROM prf2")
+def eval_macro(spark, sf_dir):
+    return L.macro(eval_confusion(spark, sf_dir))
+
+
+@query(f"WITH {_CONF} SELECT round(sum(tp) / (sum(tp) + sum(fp)), 4) AS precision, round(sum(tp) / (sum(tp) + sum(fn)), 4) AS recall, round(sum(tp) / (sum(tp) + (sum(fp) + sum(fn)) / 2), 4) AS f1 FROM c")
+def eval_micro(spark, sf_dir):
+    return L.micro(eval_confusion(spark, sf_dir))
+
+
+@query(f"WITH {_EVAL} SELECT gt.filename, gt.page FROM gt ANTI JOIN pr USING (filename, page)")
+def eval_missing(spark, sf_dir):
+    pred, truth = _pair(spark, sf_dir)
+    return truth.join(pred, ["filename", "page"], "left_anti").select("filename", "page")
+
+
+@query(f"WITH {_EVAL} SELECT pr.filename, pr.page FROM pr ANTI JOIN gt USING (filename, page)")
+def eval_extra(spark, sf_dir):
+    pred, truth = _pair(spark, sf_dir)
+    return pred.join(truth, ["filename", "page"], "left_anti").select("filename", "page")
+
+
+@query(f"WITH {_EVAL} SELECT filename, page, pred, gt FROM pr JOIN gt USING (filename, page) WHERE pred <> gt")
+def eval_mismatch(spark, sf_dir):
+    return L.mismatches(*_pair(spark, sf_dir))
+
+
+@query(f"WITH {_EVAL} SELECT gt, pred, count(*) AS n FROM pr JOIN gt USING (filename, page) GROUP BY ALL")
+def confusion_matrix(spark, sf_dir):
+    return L.matched(*_pair(spark, sf_dir)).groupBy("gt", "pred").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SEG = """sg AS (SELECT label AS page, vec_id, CAST(i AS INTEGER) AS seg, trunc(embedding[4 * i + 1]::DOUBLE * 100) AS sx, trunc(embedding[4 * i + 2]::DOUBLE * 100) AS sy, trunc(embedding[4 * i + 3]::DOUBLE * 100) AS ex, trunc(embedding[4 * i + 4]::DOUBLE * 100) AS ey FROM embeddings, range(16) t(i)),
+sa AS (SELECT *, sqrt((ex - sx) ** 2 + (ey - sy) ** 2) AS length, degrees(atan2(ey - sy, ex - sx)) - 180 * floor(degrees(atan2(ey - sy, ex - sx)) / 180) AS angle FROM sg),
+sb AS (SELECT *, CAST(least(floor(angle / 5), 35) AS INTEGER) AS bin, least(abs(angle), abs(angle - 90), abs(angle - 180)) < 2 AS grid FROM sa),
+st AS (SELECT page, sum(n) AS n, sum(g) AS grid, sum(o) AS non_grid, -sum(n / t * ln(n / t)) / log2(36.0) AS entropy FROM (SELECT page, bin, count(*) AS n, sum(CASE WHEN grid THEN length ELSE 0 END) AS g, sum(CASE WHEN grid THEN 0 ELSE length END) AS o, sum(count(*)) OVER (PARTITION BY page) AS t FROM sb GROUP BY page, bin) GROUP BY page)"""
+
+
+@query(f"WITH {_SEG} SELECT page, vec_id, seg, round(length, 6) AS length, round(angle, 6) AS angle FROM sa")
+def segment_length_angle(spark, sf_dir):
+    s = segments(table(spark, sf_dir, "embeddings"))
+    c = [F.col(x) for x in ("sx", "sy", "ex", "ey")]
+    return s.select("page", "vec_id", "seg", F.round(G.segment_length(*c), 6).alias("length"), F.round(G.segment_angle(*c), 6).alias("angle"))
+
+
+@query(f"WITH {_SEG} SELECT page, bin, count(*) AS n FROM sb GROUP BY ALL")
+def angle_histogram(spark, sf_dir):
+    s = segments(table(spark, sf_dir, "embeddings"))
+    return s.groupBy("page", G.angle_bin(G.segment_angle(*[F.col(x) for x in ("sx", "sy", "ex", "ey")])).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_SEG}, sc AS (SELECT *, 0.5 * entropy + 0.4 * least(non_grid / (grid + 1) / 10, 1) AS score FROM st) SELECT page, CAST(n AS BIGINT) AS n, round(grid, 6) AS grid, round(non_grid, 6) AS non_grid, round(entropy, 6) AS entropy, round(score, 6) AS score, score > 0.15 AND score < 0.25 AND n > 500 AS is_geo, score > 0.4 AS is_map FROM sc")
+def line_score(spark, sf_dir):
+    s = P.segment_stats(segments(table(spark, sf_dir, "embeddings")))
+    r = lambda c: F.round(c, 6).alias(c)
+    return s.select("page", "n", r("grid"), r("non_grid"), r("entropy"), r("score"), ((F.col("score") > 0.15) & (F.col("score") < 0.25) & (F.col("n") > 500)).alias("is_geo"), (F.col("score") > 0.4).alias("is_map"))
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, page, lno, next - y0 AS gap FROM (SELECT doc_id, page, lno, y0, lead(y0) OVER (PARTITION BY doc_id, page ORDER BY lno) AS next FROM lin) WHERE next IS NOT NULL")
+def vertical_gaps(spark, sf_dir):
+    p = _pages(spark, sf_dir).where(F.size("lines") > 1)
+    return p.select("doc_id", "page", F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - 2), lambda i: F.struct(i.alias("lno"), (F.get("lines", i + 1)["y0"] - F.get("lines", i)["y0"]).alias("gap")))).alias("g")).select("doc_id", "page", "g.*")
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, page, CAST(count(DISTINCT y1 - y0) AS INTEGER) AS n_sizes, max(y1 - y0) AS largest FROM lin GROUP BY ALL")
+def font_layout(spark, sf_dir):
+    size = F.transform("lines", lambda x: F.abs(x["y1"] - x["y0"]))
+    return _pages(spark, sf_dir).select("doc_id", "page", F.size(F.array_distinct(size)).alias("n_sizes"), F.array_max(size).alias("largest"))
+
+
+@query(rf"""WITH {_WORDS} SELECT l.doc_id, l.page, CAST(count(*) AS INTEGER) AS n_words, CAST(count(*) FILTER (regexp_matches(s.word, '^\p{{Lu}}\p{{Ll}}*$') OR (regexp_matches(s.word, '\p{{Lu}}') AND NOT regexp_matches(s.word, '[\p{{Ll}}\p{{Lt}}]')) OR regexp_matches(s.word, '{X.NUMBER}')) AS INTEGER) AS n_map_words FROM seg s JOIN lin l USING (doc_id, par, seg) GROUP BY ALL""")
+def map_like_words(spark, sf_dir):
+    words = F.flatten(F.transform("lines", lambda x: F.transform(x["words"], lambda w: w["text"])))
+    return _pages(spark, sf_dir).select("doc_id", "page", F.size(words).alias("n_words"), F.size(F.filter(words, X.is_map_word)).alias("n_map_words"))
+
+
+@query()
+def page_class_full(spark, sf_dir):
+    """All rules with title layouts; tested against a plain model."""
+    return P.cascade(_pages(spark, sf_dir), F.lit("en"))
+
+
+@query()
+def title_layout(spark, sf_dir):
+    """Centered and aligned layouts; tested against a plain model."""
+    return P.annotate(_pages(spark, sf_dir), F.lit(True)).select("doc_id", "page", "centered", "aligned")
+
+
+@query()
+def sidebars(spark, sf_dir):
+    return P.sidebars(P.depth_entries(_pages(spark, sf_dir)))
+
+
+@query()
+def page_features(spark, sf_dir):
+    return P.page_features(_pages(spark, sf_dir), F.lit("en"))
+
+
+@query("SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY (vec_id * 2654435761) % 1000003, vec_id) AS n FROM embeddings) WHERE n <= CASE label WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 5 END")
+def class_samples(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("label").orderBy((F.col("vec_id") * 2654435761) % 1000003, "vec_id")
+    cap = F.when(F.col("label") == 0, 1).when(F.col("label") == 1, 2).otherwise(5)
+    return table(spark, sf_dir, "embeddings").select("label", "vec_id").withColumn("n", F.row_number().over(w)).where(F.col("n") <= cap).select("label", "vec_id")
+
+
+@query("SELECT doc_id, CASE WHEN (doc_id * 2654435761) % 1000 < 200 THEN 'val' ELSE 'train' END AS split FROM documents")
+def train_val_split(spark, sf_dir):
+    """By a hash of the id: no shuffle and stable as tables grow."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.when((F.col("doc_id") * 2654435761) % 1000 < 200, "val").otherwise("train").alias("split"))
+
+
+@query("""WITH c AS (SELECT (p_partkey * 7) % 256 AS r, (p_size * 5) % 256 AS g, CAST(floor(p_retailprice) AS BIGINT) % 256 AS b FROM part), v AS (SELECT *, greatest(r, g, b) AS mx, least(r, g, b) AS mn FROM c),
+h AS (SELECT CASE WHEN mx = mn THEN 0.0 WHEN mx = r THEN ((g - b) * 60.0 / (mx - mn) + 360) WHEN mx = g THEN (b - r) * 60.0 / (mx - mn) + 120 ELSE (r - g) * 60.0 / (mx - mn) + 240 END AS hue, CASE WHEN mx = 0 THEN 0.0 ELSE (mx - mn) * 1.0 / mx END AS sat, mx / 255.0 AS val FROM v),
+b AS (SELECT CAST(least(floor((hue - 360 * floor(hue / 360)) / 18), 19) AS INTEGER) AS h, CAST(least(floor(sat * 3), 2) AS INTEGER) AS s, CAST(least(floor(val * 3), 2) AS INTEGER) AS v FROM h)
+SELECT h, s, v, count(*) AS n FROM b GROUP BY ALL HAVING count(*) * 300 >= (SELECT count(*) FROM b) AND s >= 1 AND v >= 1""")
+def hsv_bins(spark, sf_dir):
+    r, g, b = F.col("r").cast("double"), F.col("g").cast("double"), F.col("b").cast("double")
+    c = table(spark, sf_dir, "part").select((F.col("p_partkey") * 7 % 256).alias("r"), (F.col("p_size") * 5 % 256).alias("g"), (F.floor("p_retailprice") % 256).alias("b"))
+    mx, mn = F.greatest(r, g, b), F.least(r, g, b)
+    hue = F.when(mx == mn, 0.0).when(mx == r, (g - b) * 60 / (mx - mn) + 360).when(mx == g, (b - r) * 60 / (mx - mn) + 120).otherwise((r - g) * 60 / (mx - mn) + 240)
+    bins = c.select(F.least(F.floor(F.pmod(hue, F.lit(360.0)) / 18), F.lit(19)).cast("int").alias("h"), F.least(F.floor(F.coalesce(F.try_divide(mx - mn, mx), F.lit(0.0)) * 3), F.lit(2)).cast("int").alias("s"), F.least(F.floor(mx / 255 * 3), F.lit(2)).cast("int").alias("v"))
+    counts = bins.groupBy("h", "s", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("_t")))).where("n * 300 >= _t AND s >= 1 AND v >= 1").drop("_t")
