@@ -12,8 +12,8 @@ no rows. Only documents longer than the capacity are cut; of these the first pie
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +27,21 @@ _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 GROUP_ROWS = 20_000
 _loaded: dict = {}
+_BESIDE = re.compile(r"\s | \s|^ | $")
 
 
 def _tokenizer(path: str):
-    """The tokenizer and a memo of the ids of word chunks, kept while the worker lives."""
+    """The tokenizer, a memo of the ids of word chunks, and the bytes of each token, kept while the worker lives."""
     if path not in _loaded:
         from tokenizers import Tokenizer
 
         found = Tokenizer.from_file(path)
         found.encode_special_tokens = True
-        _loaded[path] = (found, {})
+        vocabulary = found.get_vocab(with_added_tokens=True)
+        widths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level vocabulary writes each byte as one character
+        for token, number in vocabulary.items():
+            widths[number] = len(token)
+        _loaded[path] = (found, {}, widths)
     return _loaded[path]
 
 
@@ -46,14 +51,14 @@ def _encode(texts: list[str], path: str) -> list[bytes]:
     The pre-tokenizer always cuts before a single space between two other characters, so the chunks between such spaces are
     encoded alone, each distinct one once. Texts with other white space runs next to a space are cut at safe spaces only.
     """
-    tokenizer, memo = _tokenizer(path)
-    if len(memo) > 400_000:
+    tokenizer, memo, widths = _tokenizer(path)
+    if len(memo) > 700_000:
         memo.clear()
     chunked, missing = [], {}
     for text in texts:
         parts = text.split(" ")
         if len(parts) > 1:
-            if "" in parts or text != " ".join(text.split()):
+            if _BESIDE.search(text):
                 safe, now = [], parts[0]
                 for x in parts[1:]:
                     if not x or x[0].isspace() or not now or now[-1].isspace():
@@ -63,17 +68,24 @@ def _encode(texts: list[str], path: str) -> list[bytes]:
                         now = " " + x
                 parts = [*safe, now]
             else:
-                parts = [parts[0], *[" " + x for x in parts[1:]]]
+                first = parts[0]
+                parts = list(map(" ".__add__, parts))
+                parts[0] = first
         chunked.append(parts)
-        for x in parts:
-            if x not in memo:
-                missing[x] = None
-    if missing:
-        words = list(missing)
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            for word, got in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                memo[word] = np.array(got.ids, "<u4").tobytes()
+        missing.update(dict.fromkeys(x for x in set(parts) if x not in memo))
+    plain = [x for x in missing if x[0:1] == " " and not x[1:2].isspace() and len(x) > 1 and not x[-1].isspace()]
+    for at in range(0, len(plain), 20_000):
+        # such chunks do not change each other when they stand in one text; token lengths in bytes tell where each one ends
+        part = plain[at : at + 20_000]
+        ids = np.array(tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
+        ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum([len(x.encode()) for x in part]), side="left") + 1
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(part, ends.tolist(), strict=True):
+            memo[word] = raw[4 * start : 4 * end]
+            start = end
+    odd = [x for x in missing if x not in memo]
+    for word, got in zip(odd, tokenizer.encode_batch(odd, add_special_tokens=False), strict=True):
+        memo[word] = np.array(got.ids, "<u4").tobytes()
     return [b"".join([memo[x] for x in parts]) for parts in chunked]
 
 
