@@ -24,11 +24,13 @@ from pyspark.sql import types as T
 
 from .common import U64, Words, blobs, mix, partitions, prepare, slices, table, text_buffer, without
 
-_ENTRY = "part int, h binary, g binary, owner binary, at binary, told boolean"
-_ENTRY_ARROW = pa.schema([("part", pa.int32()), ("h", pa.binary()), ("g", pa.binary()), ("owner", pa.binary()), ("at", pa.binary()), ("told", pa.bool_())])
-_OWNER = np.dtype([("doc", "<i8"), ("key", "<i8")])
-_ANSWER = "doc_id long, key long, at binary"
-_ANSWER_ARROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.binary())])
+_ENTRY = "part int, h binary, g binary, owner binary, n binary, at binary, told boolean"
+_ENTRY_ARROW = pa.schema([("part", pa.int32()), ("h", pa.binary()), ("g", pa.binary()), ("owner", pa.binary()), ("n", pa.binary()), ("at", pa.binary()), ("told", pa.bool_())])
+_OWNER = np.dtype([("doc", "<i8"), ("key", "<i4")])
+_ANSWER = "part int, owner binary, n binary, at binary"
+_ANSWER_ARROW = pa.schema([("part", pa.int32()), ("owner", pa.binary()), ("n", pa.binary()), ("at", pa.binary())])
+_PLACES = "doc_id long, key int, places binary"
+_PLACES_ARROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int32()), ("places", pa.binary())])
 
 
 def levels(length: int) -> list[int]:
@@ -56,6 +58,23 @@ def _anchors(words: Words, k: int, length: int) -> np.ndarray:
     return np.flatnonzero(chosen), h
 
 
+def _owners(doc, key) -> np.ndarray:
+    out = np.empty(len(doc), _OWNER)
+    out["doc"], out["key"] = doc, key
+    return out
+
+
+def _answers(owner: np.ndarray, at: np.ndarray, n_parts: int) -> tuple:
+    """Places found, one row for each part of the documents."""
+    part = (mix(owner["doc"].astype(np.uint64)) % U64(n_parts)).astype(np.int64)
+    order = np.lexsort((at, owner["key"], owner["doc"], part))
+    owner, at, part = owner[order], at[order], part[order]
+    used = np.unique(part)
+    dense, n = np.searchsorted(used, part), len(used)
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    return used.astype(np.int32), blobs(owner[first], dense[first], n), blobs(np.diff(np.r_[first, len(owner)]).astype(np.uint32), dense[first], n), blobs(at.astype(np.int32), dense, n)
+
+
 def _send(h, g, doc, key, at, n_parts, any_other: bool):
     """Entries by part, and answers that this batch gives itself. any_other: any other document counts, not only a smaller one."""
     order = np.lexsort((doc, g, h))
@@ -81,26 +100,23 @@ def _send(h, g, doc, key, at, n_parts, any_other: bool):
         pick = np.flatnonzero(sent & (told == flag))
         pick = pick[np.lexsort((at[pick], key[pick], doc[pick], part[pick]))]
         p = part[pick]
-        owner = np.empty(len(pick), _OWNER)
-        owner["doc"], owner["key"] = doc[pick], key[pick]
         used = np.unique(p)
-        dense = np.searchsorted(used, p)
-        n = len(used)
+        dense, n = np.searchsorted(used, p), len(used)
         hs = (h[pick] & U64(0xFFFFFFFF)).astype(np.uint32) if any_other else h[pick]
-        gs = blobs(g[pick], dense, n) if not any_other else [b""] * n
-        owners = blobs(owner, dense, n) if not (flag and any_other) else [b""] * n
-        ats = blobs(at[pick].astype(np.int32), dense, n) if not (flag and any_other) else [b""] * n
-        rows.append(table(_ENTRY_ARROW, [used.astype(np.int32), blobs(hs, dense, n), gs, owners, ats, np.full(n, flag)]))
+        gs = [b""] * n if any_other else blobs(g[pick].astype(np.uint32), dense, n)
+        if flag and any_other:
+            owners = counts = ats = [b""] * n
+        else:
+            owner = _owners(doc[pick], key[pick])
+            first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (dense[1:] != dense[:-1])][: len(pick)])
+            owners, counts = blobs(owner[first], dense[first], n), blobs(np.diff(np.r_[first, len(pick)]).astype(np.uint32), dense[first], n)
+            ats = blobs(at[pick].astype(np.int32), dense, n)
+        rows.append(table(_ENTRY_ARROW, [used.astype(np.int32), blobs(hs, dense, n), gs, owners, counts, ats, np.full(n, flag)]))
     answered = np.flatnonzero(known)
     if len(answered):
-        order = np.lexsort((at[answered], key[answered], doc[answered]))
-        answered = answered[order]
-        owner = np.empty(len(answered), _OWNER)
-        owner["doc"], owner["key"] = doc[answered], key[answered]
-        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        n = len(first)
-        dense = np.repeat(np.arange(n), np.diff(np.r_[first, len(owner)]))
-        rows.append(table(_ENTRY_ARROW, [(mix(owner["key"][first].view(np.uint64)) % U64(n_parts)).astype(np.int32), [b""] * n, [b""] * n, [x.tobytes() for x in owner[first]], blobs(at[answered].astype(np.int32), dense, n), np.ones(n, bool)]))
+        to, owners, counts, ats = _answers(_owners(doc[answered], key[answered]), at[answered], n_parts)
+        none = [b""] * len(to)
+        rows.append(table(_ENTRY_ARROW, [to, none, none, owners, counts, ats, np.ones(len(to), bool)]))
     return rows
 
 
@@ -111,7 +127,7 @@ def _level(k: int, length: int, size: int, n_parts: int):
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
-            ids, keys = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("key").to_numpy(zero_copy_only=False)
+            ids, keys = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), batch.column("key").to_numpy(zero_copy_only=False)
             found = None if first else batch.column("places").to_pylist()
             got = []
             for i, j in slices(offsets):
@@ -123,7 +139,7 @@ def _level(k: int, length: int, size: int, n_parts: int):
                     at = np.flatnonzero(valid)
                 else:
                     h, valid = w.windows(k)
-                    joined = [b"".join(x) for x in found[i:j]]
+                    joined = [x or b"" for x in found[i:j]]
                     doc = np.repeat(np.arange(j - i), [len(x) // 4 for x in joined])
                     p = np.frombuffer(b"".join(joined), np.int32) + w.first[doc]
                     low, n = np.maximum(p - (k - size), w.first[doc]), len(h)
@@ -140,27 +156,28 @@ def _level(k: int, length: int, size: int, n_parts: int):
     return run
 
 
-def _meet(final: bool):
+def _meet(final: bool, n_parts: int):
     """mapInArrow over all entries of some parts: which of them another (final: a smaller) document has too."""
 
     def run(batches):
-        hs, gs, owners, ats, told = [], [], [], [], []
+        hs, gs, owners, ats, told, settled = [], [], [], [], [], []
         for batch in batches:
-            for h, g, owner, at, flag in zip(*[batch.column(c).to_pylist() for c in ("h", "g", "owner", "at", "told")], strict=True):
+            for h, g, owner, count, at, flag in zip(*[batch.column(c).to_pylist() for c in ("h", "g", "owner", "n", "at", "told")], strict=True):
                 if flag and not h:
-                    doc, key = np.frombuffer(owner, _OWNER)[0]
-                    yield table(_ANSWER_ARROW, [[int(doc)], [int(key)], [at]])
+                    settled.append((np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)), np.frombuffer(at, np.int32)))
                     continue
                 hs.append(np.frombuffer(h, np.uint64 if final else np.uint32))
                 n = len(hs[-1])
-                gs.append(np.frombuffer(g, np.uint64) if final else np.zeros(n, np.uint64))
+                gs.append(np.frombuffer(g, np.uint32) if final else np.zeros(n, np.uint32))
                 if owner:
-                    owners.append(np.frombuffer(owner, _OWNER))
+                    owners.append(np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)))
                     ats.append(np.frombuffer(at, np.int32))
                 else:
-                    owners.append(np.full(n, -1, np.int64).astype([("doc", "<i8"), ("key", "<i8")]))
+                    owners.append(np.zeros(n, _OWNER))
                     ats.append(np.full(n, -1, np.int32))
                 told.append(np.full(n, flag))
+        if settled:
+            yield table(_ANSWER_ARROW, list(_answers(*[np.concatenate(x) for x in zip(*settled, strict=True)], n_parts)))
         if not hs:
             return
         h, g, owner, at, told = (np.concatenate(x) for x in (hs, gs, owners, ats, told))
@@ -173,21 +190,35 @@ def _meet(final: bool):
         if final:
             hit = owner["doc"] != owner["doc"][where][group]
         else:
-            low, high = owner["doc"][where], owner["doc"][np.r_[where[1:], len(h)] - 1]
-            repeated = (low != high) | np.logical_or.reduceat(told, where)
+            repeated = (owner["doc"][where] != owner["doc"][np.r_[where[1:], len(h)] - 1]) | np.logical_or.reduceat(told, where)
             hit = repeated[group] & ~told
         pick = np.flatnonzero(hit)
         if not len(pick):
             return
-        pick = pick[np.lexsort((at[pick], owner["key"][pick], owner["doc"][pick]))]
-        owner, at = owner[pick], at[pick]
-        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        dense = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(owner)]))
-        yield table(_ANSWER_ARROW, [owner["doc"][first], owner["key"][first], blobs(at.astype(np.int32), dense, len(first))])
+        yield table(_ANSWER_ARROW, list(_answers(owner[pick], at[pick], n_parts)))
 
     return run
 
 
+def _gather(batches):
+    """mapInArrow over all answers for some documents: one row a document."""
+    owners, ats = [], []
+    for batch in batches:
+        for owner, n, at in zip(*[batch.column(c).to_pylist() for c in ("owner", "n", "at")], strict=True):
+            owners.append(np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(n, np.uint32)))
+            ats.append(np.frombuffer(at, np.int32))
+    if not owners:
+        return
+    owner, at = np.concatenate(owners), np.concatenate(ats)
+    order = np.lexsort((at, owner["key"], owner["doc"]))
+    owner, at = owner[order], at[order]
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    ends = np.r_[first[1:], len(owner)]
+    for i in range(0, len(first), 5000):
+        a, b = first[i : i + 5000], ends[i : i + 5000]
+        yield table(_PLACES_ARROW, [owner["doc"][a], owner["key"][a], [at[x:y].tobytes() for x, y in zip(a, b, strict=True)]])
+
+
 def _strip(length: int, digest: bool):
     """mapInArrow: texts without the words under the places found."""
 
@@ -200,11 +231,8 @@ def _strip(length: int, digest: bool):
                 words = (text or "").encode().split()
                 n, gone, out = len(words), 0, text
                 if places:
-                    mark = np.zeros(n + 1, np.int64)
-                    for p in places:
-                        p = np.frombuffer(p, np.int32)
-                        np.add.at(mark, p, 1)
-                        np.add.at(mark, np.minimum(p + length, n), -1)
+                    p = np.frombuffer(places, np.int32)
+                    mark = np.bincount(p, minlength=n + 1) - np.bincount(np.minimum(p + length, n), minlength=n + 1)
                     keep = np.cumsum(mark)[:n] == 0
                     gone = int(n - keep.sum())
                     words = list(compress(words, keep.tolist()))
@@ -234,19 +262,19 @@ def substring_dedup(docs: DataFrame, length: int = 13, digest: bool = False) ->
     spark = docs.sparkSession
     prepare(spark)
     more = without(docs, "n_words", "n_removed", "kept_sha256", "places", "key")
-    keyed = more.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn("key", F.xxhash64("text"))
-    texts = keyed.select("doc_id", "text", "key").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    keyed = more.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn("key", F.hash("text"))
+    texts = keyed.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "key")
     parts = 4 * partitions(spark)
     steps, found = levels(length), None
+    # every join below takes the same left side, columns and rows, so that its texts are shuffled once
     for n, k in enumerate(steps):
         if found is None:
             entries = texts.mapInArrow(_level(k, length, 0, parts), _ENTRY)
         else:
-            about = found.groupBy("doc_id", "key").agg(F.collect_list("at").alias("places"))
-            entries = texts.join(about.hint("shuffle_hash"), ["doc_id", "key"]).mapInArrow(_level(k, length, steps[n - 1], parts), _ENTRY)
-        found = entries.repartition(partitions(spark), "part").mapInArrow(_meet(k == length), _ANSWER)
-    gone = found.groupBy("doc_id", "key").agg(F.collect_list("at").alias("places"))
-    joined = keyed.join(gone.hint("shuffle_hash"), ["doc_id", "key"], "left").drop("key")
+            entries = keyed.join(found.hint("shuffle_hash"), ["doc_id", "key"], "left").mapInArrow(_level(k, length, steps[n - 1], parts), _ENTRY)
+        answers = entries.repartition(partitions(spark), "part").mapInArrow(_meet(k == length, partitions(spark)), _ANSWER)
+        found = answers.repartition(partitions(spark), "part").mapInArrow(_gather, _PLACES)
+    joined = keyed.join(found.hint("shuffle_hash"), ["doc_id", "key"], "left").drop("key")
     kept = [f for f in joined.schema.fields if f.name not in ("places", "text")]
     out = joined.mapInArrow(_strip(length, digest), T.StructType([*kept, T.StructField("kept_sha256" if digest else "text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]))
     return out if digest else out.select(*[f"`{c}`" for c in more.columns], "n_words", "n_removed")
