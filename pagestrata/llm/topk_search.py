@@ -53,13 +53,13 @@ def maxscore(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, id
     essential = queries.copy()
     for q in range(len(queries)):
         essential[q, order[q, : skipped[q]]] = 0
-    partial = vectors @ essential.T
+    partial = essential @ vectors.T
     for q in range(len(queries)):
         left = skipped[q]
         slack = rising[q, left - 1] if left else 0.0
-        alive = np.flatnonzero(partial[:, q] + slack >= threshold[q])
+        alive = np.flatnonzero(partial[q] + slack >= threshold[q])
         alive = alive[ids[alive] != query_ids[q]]
-        score = partial[alive, q]
+        score = partial[q, alive]
         if len(alive) > 4 * k and left:  # raise the threshold by probing the best so far completely
             top = alive[np.argpartition(-score, k)[: 2 * k]]
             whole = vectors[top] @ queries[q]
