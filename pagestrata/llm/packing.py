@@ -54,7 +54,7 @@ def _encode(texts: list[str], path: str) -> list[bytes]:
     tokenizer, memo, widths = _tokenizer(path)
     if len(memo) > 700_000:
         memo.clear()
-    chunked, missing = [], {}
+    chunked, seen = [], set()
     for text in texts:
         parts = text.split(" ")
         if len(parts) > 1:
@@ -72,21 +72,25 @@ def _encode(texts: list[str], path: str) -> list[bytes]:
                 parts = list(map(" ".__add__, parts))
                 parts[0] = first
         chunked.append(parts)
-        missing.update(dict.fromkeys(x for x in set(parts) if x not in memo))
-    plain = [x for x in missing if x[0:1] == " " and not x[1:2].isspace() and len(x) > 1 and not x[-1].isspace()]
+        seen.update(parts)
+    missing = seen.difference(memo)
+    plain = [x for x in missing if len(x) > 1 and x[0] == " " and not x[1].isspace() and not x[-1].isspace()]
     for at in range(0, len(plain), 20_000):
         # such chunks do not change each other when they stand in one text; token lengths in bytes tell where each one ends
         part = plain[at : at + 20_000]
-        ids = np.array(tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
-        ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum([len(x.encode()) for x in part]), side="left") + 1
-        raw, start = ids.tobytes(), 0
-        for word, end in zip(part, ends.tolist(), strict=True):
-            memo[word] = raw[4 * start : 4 * end]
-            start = end
+        ids = np.array(_ids(tokenizer, ["".join(part)])[0], "<u4")
+        ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum(list(map(len, map(str.encode, part)))), side="left") + 1
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        memo.update(zip(part, [raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
     odd = [x for x in missing if x not in memo]
-    for word, got in zip(odd, tokenizer.encode_batch(odd, add_special_tokens=False), strict=True):
-        memo[word] = np.array(got.ids, "<u4").tobytes()
-    return [b"".join([memo[x] for x in parts]) for parts in chunked]
+    for word, got in zip(odd, _ids(tokenizer, odd), strict=True):
+        memo[word] = np.array(got, "<u4").tobytes()
+    return [b"".join(map(memo.__getitem__, parts)) for parts in chunked]
+
+
+def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+    """Ids only: the tokenizer keeps no offsets."""
+    return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def _cut(path: str, capacity: int):
