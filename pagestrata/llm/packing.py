@@ -12,7 +12,6 @@ no rows. Only documents longer than the capacity are cut; of these the first pie
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -20,77 +19,115 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, table
+from .common import materialize, prepare, ragged, table, text_buffer
 
 END = 2
 _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 GROUP_ROWS = 20_000
+MEMO_CHUNKS = 700_000
 _loaded: dict = {}
-_BESIDE = re.compile(r"\s | \s|^ | $")
 
 
-def _tokenizer(path: str):
-    """The tokenizer, a memo of the ids of word chunks, and the bytes of each token, kept while the worker lives."""
-    if path not in _loaded:
+class _Chunks:
+    """A tokenizer with a memo of the ids of text chunks, kept while the worker lives and emptied beyond MEMO_CHUNKS."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        found = Tokenizer.from_file(path)
-        found.encode_special_tokens = True
-        vocabulary = found.get_vocab(with_added_tokens=True)
-        widths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level vocabulary writes each byte as one character
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level vocabulary writes each byte as one character
         for token, number in vocabulary.items():
-            widths[number] = len(token)
-        _loaded[path] = (found, {}, widths)
-    return _loaded[path]
-
-
-def _encode(texts: list[str], path: str) -> list[bytes]:
-    """Little-endian 32-bit ids of each text.
-
-    The pre-tokenizer always cuts before a single space between two other characters, so the chunks between such spaces are
-    encoded alone, each distinct one once. Texts with other white space runs next to a space are cut at safe spaces only.
+            self.widths[number] = len(token)
+        self.clear()
+
+    def clear(self) -> None:
+        """Chunk -> number; number -> start and length in ids, which may have spare room. Number 0 is the end of a document."""
+        self.number: dict[str, int] = {}
+        self.start, self.length, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4")
+        self.n_chunks, self.n_ids = 0, 0
+        self._append([], np.array([END], "<u4"), np.array([1]))
+
+    def _append(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, m = len(lengths), len(ids)
+        while self.n_chunks + n > len(self.start):
+            self.start, self.length = np.concatenate([self.start, self.start]), np.concatenate([self.length, self.length])
+        while self.n_ids + m > len(self.ids):
+            self.ids = np.concatenate([self.ids, self.ids])
+        self.length[self.n_chunks : self.n_chunks + n] = lengths
+        self.start[self.n_chunks : self.n_chunks + n] = self.n_ids + np.cumsum(lengths) - lengths
+        self.ids[self.n_ids : self.n_ids + m] = ids
+        self.number.update(zip(chunks, range(self.n_chunks, self.n_chunks + n), strict=False))
+        self.n_chunks, self.n_ids = self.n_chunks + n, self.n_ids + m
+
+    def _encode(self, chunks: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain, odd = [], []
+        for x in chunks:
+            (plain if len(x) > 1 and x[0] == " " and not x[1].isspace() and not x[-1].isspace() else odd).append(x)
+        for at in range(0, len(plain), 20_000):
+            # such chunks do not change each other when they stand in one text; token lengths in bytes tell where each one ends
+            part = plain[at : at + 20_000]
+            ids = np.array(self._encode(["".join(part)])[0], "<u4")
+            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(list(map(len, map(str.encode, part)))), side="left") + 1
+            self._append(part, ids, np.diff(ends, prepend=0))
+        for at in range(0, len(odd), 20_000):
+            part = odd[at : at + 20_000]
+            got = self._encode(part)
+            self._append(part, np.array([y for x in got for y in x], "<u4"), np.array([len(x) for x in got], np.int64))
+
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        if self.n_chunks > MEMO_CHUNKS:
+            self.clear()
+        missing = [x for x in chunks if x not in self.number]
+        if missing:
+            self._learn(missing)
+        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+
+
+def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bytes where a chunk begins: each text that is not empty, and each single space between two characters that are no white space.
+
+    The pre-tokenizer always cuts before such a space, so chunks can be encoded alone.
     """
-    tokenizer, memo, widths = _tokenizer(path)
-    if len(memo) > 700_000:
-        memo.clear()
-    chunked, seen = [], set()
-    for text in texts:
-        parts = text.split(" ")
-        if len(parts) > 1:
-            if _BESIDE.search(text):
-                safe, now = [], parts[0]
-                for x in parts[1:]:
-                    if not x or x[0].isspace() or not now or now[-1].isspace():
-                        now += " " + x
-                    else:
-                        safe.append(now)
-                        now = " " + x
-                parts = [*safe, now]
-            else:
-                first = parts[0]
-                parts = list(map(" ".__add__, parts))
-                parts[0] = first
-        chunked.append(parts)
-        seen.update(parts)
-    missing = seen.difference(memo)
-    plain = [x for x in missing if len(x) > 1 and x[0] == " " and not x[1].isspace() and not x[-1].isspace()]
-    for at in range(0, len(plain), 20_000):
-        # such chunks do not change each other when they stand in one text; token lengths in bytes tell where each one ends
-        part = plain[at : at + 20_000]
-        ids = np.array(_ids(tokenizer, ["".join(part)])[0], "<u4")
-        ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum(list(map(len, map(str.encode, part)))), side="left") + 1
-        raw, ends = ids.tobytes(), (4 * ends).tolist()
-        memo.update(zip(part, [raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-    odd = [x for x in missing if x not in memo]
-    for word, got in zip(odd, _ids(tokenizer, odd), strict=True):
-        memo[word] = np.array(got, "<u4").tobytes()
-    return [b"".join(map(memo.__getitem__, parts)) for parts in chunked]
-
-
-def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
-    """Ids only: the tokenizer keeps no offsets."""
-    return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    padded = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(3, 32, np.uint8)])
+    spaces = np.flatnonzero(raw == 32)
+    near = {k: padded[spaces + 3 + k] for k in (-3, -2, -1, 1, 2, 3)}
+
+    def white(a: np.ndarray, b: np.ndarray, c: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether bytes a b c, or b c as a pair, are white space; last alone is the ASCII case."""
+        wide = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)) | ((a == 0xE2) & (b == 0x81) & (c == 0x9F))
+        wide |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+        return wide | (last == 32) | ((last >= 9) & (last <= 13)) | ((last >= 28) & (last <= 31))
+
+    two = (near[-2] == 0xC2) & ((near[-1] == 0x85) | (near[-1] == 0xA0)) | (near[1] == 0xC2) & ((near[2] == 0x85) | (near[2] == 0xA0))
+    odd = white(near[-3], near[-2], near[-1], near[-1]) | white(near[1], near[2], near[3], near[1]) | two
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    safe = spaces[~odd & ~edge[spaces] & ~edge[spaces + 1]]
+    edge[safe] = True
+    return np.flatnonzero(edge[:-1])
+
+
+def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each followed by END, and the len + 1 offsets of each text's ids."""
+    if path not in _loaded:
+        _loaded[path] = _Chunks(path)
+    memo = _loaded[path]
+    raw, offsets = text_buffer(texts)
+    starts = _chunk_starts(raw, offsets)
+    cuts = np.append(starts, len(raw)).astype(np.int64)
+    chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts), pa.py_buffer(raw)).dictionary_encode()
+    numbers = memo.numbers(chunks.dictionary.to_pylist())[chunks.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.int64)
+    ends = np.searchsorted(starts, offsets[1:], side="left")
+    numbers = np.insert(numbers, ends, 0)
+    lengths = memo.length[numbers]
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    return memo.ids[ragged(memo.start[numbers], lengths)], upto[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
 
 
 def _cut(path: str, capacity: int):
@@ -98,20 +135,21 @@ def _cut(path: str, capacity: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [x or "" for x in batch.column("text").to_pylist()]
-            for at in range(0, len(texts), 500):
-                rows = ([], [], [], [], [])
-                for doc, tokens in zip(ids[at : at + 500], _encode(texts[at : at + 500], path), strict=True):
-                    tokens += end
-                    n = len(tokens) // 4
-                    head = n % capacity or capacity if n > capacity else n
-                    for piece, start in enumerate([0, *range(head, n, capacity)]):
-                        stop = head if not piece else start + capacity
-                        for out, x in zip(rows, (doc, piece, start, stop - start, zlib.crc32(tokens[4 * start : 4 * stop])), strict=True):
-                            out.append(x)
-                yield table(_PIECE_ARROW, list(rows))
+            if not batch.num_rows:
+                continue
+            tokens, at = _encode(batch.column("text"), path)
+            sizes = np.diff(at)
+            pieces = -(-sizes // capacity)
+            doc = np.repeat(np.arange(len(sizes)), pieces)
+            piece = ragged(np.zeros(len(sizes), np.int64), pieces)
+            head = sizes - (pieces - 1) * capacity  # only the first piece may be shorter
+            start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
+            length = np.where(piece == 0, head[doc], capacity)
+            view = memoryview(tokens).cast("B")
+            low = 4 * (at[doc] + start)
+            crcs = [zlib.crc32(view[i:j]) for i, j in zip(low.tolist(), (low + 4 * length).tolist(), strict=True)]
+            yield table(_PIECE_ARROW, [batch.column("doc_id").take(pa.array(doc)), piece.astype(np.int32), start, length.astype(np.int32), crcs])
 
     return run
 
