@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, ragged, table, text_buffer
+from .common import lean, materialize, prepare, ragged, table, text_buffer
 
 END = 2
 _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -30,7 +30,7 @@ _loaded: dict = {}
 
 
 class _Chunks:
-    """A tokenizer with a memo of the ids of text chunks, kept while the worker lives and emptied beyond MEMO_CHUNKS."""
+    """A tokenizer, kept while the worker lives, with a memo of the ids of text chunks, emptied beyond MEMO_CHUNKS and after each task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -66,15 +66,28 @@ class _Chunks:
         return [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
-        plain, odd = [], []
+        spaced, plain, odd = [], [], []
         for x in chunks:
-            (plain if len(x) > 1 and x[0] == " " and not x[1].isspace() and not x[-1].isspace() else odd).append(x)
-        for at in range(0, len(plain), 20_000):
-            # such chunks do not change each other when they stand in one text; token lengths in bytes tell where each one ends
-            part = plain[at : at + 20_000]
-            ids = np.array(self._encode(["".join(part)])[0], "<u4")
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(list(map(len, map(str.encode, part)))), side="left") + 1
-            self._append(part, ids, np.diff(ends, prepend=0))
+            if x[-1].isspace():
+                odd.append(x)
+            elif not x[0].isspace():
+                plain.append(x)
+            elif x[0] == " " and not x[1].isspace():
+                spaced.append(x)
+            else:
+                odd.append(x)
+        # chunks that begin with one space, or stand between line ends, do not change each other when they stand in one text;
+        # token lengths in bytes tell where each one ends
+        for group, before in ((spaced, ""), (plain, "\n")):
+            for at in range(0, len(group), 20_000):
+                part = group[at : at + 20_000]
+                ids = np.array(self._encode([before + before.join(part)])[0], "<u4")
+                sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)) + len(before)
+                lengths = np.diff(np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(sizes), side="left") + 1, prepend=0)
+                if before:
+                    ids = np.delete(ids, np.cumsum(lengths) - lengths)
+                    lengths = lengths - 1
+                self._append(part, ids, lengths)
         for at in range(0, len(odd), 20_000):
             part = odd[at : at + 20_000]
             got = self._encode(part)
@@ -90,12 +103,13 @@ class _Chunks:
 
 
 def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bytes where a chunk begins: each text that is not empty, and each single space between two characters that are no white space.
+    """Bytes where a chunk begins: each text that is not empty, what follows an ASCII letter and is ASCII but no letter, and each
+    single space or line end, with what follows the latter, between two characters that are no white space.
 
-    The pre-tokenizer always cuts before such a space, so chunks can be encoded alone.
+    The pre-tokenizer always cuts there, so chunks can be encoded alone.
     """
     padded = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(3, 32, np.uint8)])
-    spaces = np.flatnonzero(raw == 32)
+    spaces = np.flatnonzero((raw == 32) | (raw == 10))
     near = {k: padded[spaces + 3 + k] for k in (-3, -2, -1, 1, 2, 3)}
 
     def white(a: np.ndarray, b: np.ndarray, c: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -110,14 +124,21 @@ def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     edge[offsets] = True
     safe = spaces[~odd & ~edge[spaces] & ~edge[spaces + 1]]
     edge[safe] = True
+    edge[safe[raw[safe] == 10] + 1] = True
+    letter = (raw | 32) - np.uint8(97) < 26
+    edge[1:-1] |= letter[:-1] & ~letter[1:] & (raw[1:] < 128)
     return np.flatnonzero(edge[:-1])
 
 
-def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, each followed by END, and the len + 1 offsets of each text's ids."""
+def _chunks(path: str) -> _Chunks:
     if path not in _loaded:
         _loaded[path] = _Chunks(path)
-    memo = _loaded[path]
+    return _loaded[path]
+
+
+def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each followed by END, and the len + 1 offsets of each text's ids."""
+    memo = _chunks(path)
     raw, offsets = text_buffer(texts)
     starts = _chunk_starts(raw, offsets)
     cuts = np.append(starts, len(raw)).astype(np.int64)
@@ -150,8 +171,9 @@ def _cut(path: str, capacity: int):
             low = 4 * (at[doc] + start)
             crcs = [zlib.crc32(view[i:j]) for i, j in zip(low.tolist(), (low + 4 * length).tolist(), strict=True)]
             yield table(_PIECE_ARROW, [batch.column("doc_id").take(pa.array(doc)), piece.astype(np.int32), start, length.astype(np.int32), crcs])
+        _chunks(path).clear()  # other stages use the same workers
 
-    return run
+    return lean(run)
 
 
 def fullest(limit: int, counts: dict[int, int]) -> list[int]:

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,3 +253,18 @@ def test_language(spark, docs):
     assert np.mean([got[i].lang_pred == lang for i, _, lang in rows[:300]]) == 1
     assert [got[i].lang_pred for i in (900, 901, 902)] == ["und", "und", "de"]
     assert identify_languages(empty(docs)).count() == 0
+
+
+def test_chunks_encode_like_whole_texts():
+    import random
+
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(tokenizer_path())
+    encoder.encode_special_tokens = True
+    rng = random.Random(1)
+    bits = [" ", " ", "  ", "\n", "\r\n", "\t", " ", "　", " ", "\u0085", "\x1c", "a", "Bc", "it's", "'", "'street", "é", "—", "“", "12", "!", ".", "<|endoftext|>", "漢", "🙂", "|", "_"]
+    texts = [None, "", " ", "\n", "a ", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(20_000))]
+    ids, at = packing._encode(pa.array(texts, pa.string()), tokenizer_path())
+    for text, low, high in zip(texts, at[:-1], at[1:], strict=True):
+        assert ids[low:high].tolist() == [*encoder.encode(text or "", add_special_tokens=False).ids, 2], repr(text)
