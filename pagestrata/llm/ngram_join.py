@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, blobs, connected_components, discard, materialize, mix, partitions, prepare, ragged, slices, table, text_buffer, without
+from .common import U64, Words, blobs, connected_components, discard, lean, materialize, mix, partitions, prepare, ragged, slices, table, text_buffer, without
 
 CELLS = 1 << 20
 RANGES = 64
@@ -70,7 +70,7 @@ def _sketch(k: int):
                 counts += np.bincount((h >> U64(44)).astype(np.int64), minlength=CELLS).astype(np.uint32)
         yield table(schema, [np.arange(16, dtype=np.int32), [x.tobytes() for x in counts.reshape(16, -1)]])
 
-    return run
+    return lean(run)
 
 
 def _total(batches):
@@ -107,7 +107,7 @@ def _sets(k: int, percent: int, shared):
                 high, low = blobs((top >> U64(16)).astype(np.uint32), doc, n_docs), blobs((top & U64(0xFFFF)).astype(np.uint16), doc, n_docs)
                 yield table(_SET_ARROW, [ids[i:j], n.astype(np.int32), s1.view(np.int64), s2.view(np.int64), blobs(prefix, np.repeat(np.arange(n_docs), keep), n_docs), [x.tobytes() for x in cell.reshape(n_docs, RANGES)], [a + b for a, b in zip(high, low, strict=True)]])
 
-    return run
+    return lean(run)
 
 
 def _spread(n_parts: int):
@@ -129,7 +129,7 @@ def _spread(n_parts: int):
             used = np.unique(part)
             yield table(schema, [used.astype(np.int32), blobs(out[order], np.searchsorted(used, part[order]), len(used))])
 
-    return run
+    return lean(run)
 
 
 def _pairs(percent: int, full: bool):
@@ -179,7 +179,7 @@ def _pairs(percent: int, full: bool):
         for at in range(0, pairs.shape[1], 100_000):
             yield table(schema, [pairs[0, at : at + 100_000], pairs[1, at : at + 100_000]])
 
-    return run
+    return lean(run)
 
 
 def _whole(blob: bytes, n: int) -> np.ndarray:
@@ -202,7 +202,7 @@ def _verify(percent: int):
                     out_b.append(b)
             yield table(schema, [np.array(out_a, np.int64), np.array(out_b, np.int64)])
 
-    return run
+    return lean(run)
 
 
 def _suffix(percent: int):
@@ -217,13 +217,14 @@ def _suffix(percent: int):
             ok = np.abs(ra - rb).sum(axis=1) <= na + nb - 2 * need
             yield table(schema, [batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))])
 
-    return run
+    return lean(run)
 
 
-def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, spent: list[DataFrame] | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (classes of equal sets linked with the document's class) of each row of docs (doc_id, text).
 
     Documents link when 100 x intersection >= percent x union of their sets of shingles of so many lower-cased words.
+    spent: takes the tables that the result reads; a caller who has written the result may discard them.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -265,11 +266,16 @@ def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
     classes = reps.select("rep", "n", "s1", "s2").join(final.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = small.join(classes, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     discard(tried)
+    if spent is not None:
+        spent += [sets, reps, links, rest, more]
     return out
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row of each class of docs, the one of smallest doc_id; rows without words and rows of null doc_id stay as they are."""
-    classes = ngram_classes(docs, shingle, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    spent: list[DataFrame] = []
+    classes = materialize(ngram_classes(docs, shingle, percent, spent).where("doc_id <> component_id").select("doc_id").distinct())
+    for x in spent:
+        discard(x)
     kept = docs.join(classes, docs["doc_id"] == classes["doc_id"], "left_anti")
     return kept

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Words, blobs, mix, partitions, prepare, slices, table, text_buffer, without
+from .common import U64, Words, blobs, lean, mix, partitions, prepare, slices, table, text_buffer, without
 
 _ENTRY = "part int, h binary, g binary, owner binary, n binary, at binary, told boolean"
 _ENTRY_ARROW = pa.schema([("part", pa.int32()), ("h", pa.binary()), ("g", pa.binary()), ("owner", pa.binary()), ("n", pa.binary()), ("at", pa.binary()), ("told", pa.bool_())])
@@ -153,7 +153,7 @@ def _level(k: int, length: int, size: int, n_parts: int):
             if got:
                 yield from _send(*[np.concatenate(x) for x in zip(*got, strict=True)], n_parts, not final)
 
-    return run
+    return lean(run)
 
 
 def _meet(final: bool, n_parts: int):
@@ -197,9 +197,10 @@ def _meet(final: bool, n_parts: int):
             return
         yield table(_ANSWER_ARROW, list(_answers(owner[pick], at[pick], n_parts)))
 
-    return run
+    return lean(run)
 
 
+@lean
 def _gather(batches):
     """mapInArrow over all answers for some documents: one row a document."""
     owners, ats = [], []
@@ -251,7 +252,7 @@ def _strip(length: int, digest: bool):
             cols["n_words"], cols["n_removed"] = pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())
             yield pa.RecordBatch.from_pydict(cols)
 
-    return run
+    return lean(run)
 
 
 def substring_dedup(docs: DataFrame, length: int = 13, digest: bool = False) -> DataFrame:
