@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import materialize
+from pagestrata.llm.common import discard, materialize
 from pagestrata.llm.mixing import mix_sources
 from pagestrata.llm.ngram_join import drop_near_copies
 from pagestrata.llm.packing import pack_documents
@@ -52,7 +52,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = materialize(docs)
+            discard(before)
     return docs
