@@ -62,6 +62,7 @@ def lean(run):
         import ctypes
 
         yield from run(batches)
+        _powers.clear()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, materialize, prepare, ragged, table, text_buffer
+from .common import lean, materialize, prepare, ragged, slices, table, text_buffer
 
 END = 2
 _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -30,7 +30,7 @@ _loaded: dict = {}
 
 
 class _Chunks:
-    """A tokenizer, kept while the worker lives, with a memo of the ids of text chunks, emptied beyond MEMO_CHUNKS and after each task."""
+    """A tokenizer with a memo of the ids of text chunks, emptied beyond MEMO_CHUNKS; both are kept for one task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -152,26 +152,28 @@ def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(path: str, capacity: int):
+    def pieces_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens, at = _encode(batch.column("text"), path)
+        sizes = np.diff(at)
+        pieces = -(-sizes // capacity)
+        doc = np.repeat(np.arange(len(sizes)), pieces)
+        piece = ragged(np.zeros(len(sizes), np.int64), pieces)
+        head = sizes - (pieces - 1) * capacity  # only the first piece may be shorter
+        start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
+        length = np.where(piece == 0, head[doc], capacity)
+        view = memoryview(tokens).cast("B")
+        low = 4 * (at[doc] + start)
+        crcs = [zlib.crc32(view[i:j]) for i, j in zip(low.tolist(), (low + 4 * length).tolist(), strict=True)]
+        return table(_PIECE_ARROW, [batch.column("doc_id").take(pa.array(doc)), piece.astype(np.int32), start, length.astype(np.int32), crcs])
+
     def run(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tokens, at = _encode(batch.column("text"), path)
-            sizes = np.diff(at)
-            pieces = -(-sizes // capacity)
-            doc = np.repeat(np.arange(len(sizes)), pieces)
-            piece = ragged(np.zeros(len(sizes), np.int64), pieces)
-            head = sizes - (pieces - 1) * capacity  # only the first piece may be shorter
-            start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
-            length = np.where(piece == 0, head[doc], capacity)
-            view = memoryview(tokens).cast("B")
-            low = 4 * (at[doc] + start)
-            crcs = [zlib.crc32(view[i:j]) for i, j in zip(low.tolist(), (low + 4 * length).tolist(), strict=True)]
-            yield table(_PIECE_ARROW, [batch.column("doc_id").take(pa.array(doc)), piece.astype(np.int32), start, length.astype(np.int32), crcs])
-        _chunks(path).clear()  # other stages use the same workers
+            for i, j in slices(text_buffer(batch.column("text"))[1], 1 << 20):
+                yield pieces_of(batch.slice(i, j - i))
+        _loaded.clear()  # other stages use the same workers
 
     return lean(run)
 
