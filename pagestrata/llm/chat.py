@@ -46,15 +46,15 @@ def root_to_leaf(messages: DataFrame) -> DataFrame:
     linked = nodes.join(ids.withColumn("_is", F.lit(True)), ["conv_id", "parent_id"], "left").select("conv_id", "msg_id", F.when(F.col("_is"), F.col("parent_id")).alias("up"))
     leaves = nodes.join(nodes.select("conv_id", F.col("parent_id").alias("msg_id")).where("msg_id IS NOT NULL").distinct(), ["conv_id", "msg_id"], "left_anti")
     paths = materialize(leaves.select("conv_id", F.col("msg_id").alias("leaf_id"), "msg_id", F.lit(0).cast("long").alias("depth")))
-    jump, step = materialize(linked), 1
+    jump, step = materialize(linked.where("up IS NOT NULL")), 1  # messages whose jump would pass the root leave
     while True:
-        hop = jump.where("up IS NOT NULL").select("conv_id", "msg_id", F.col("up").alias("_up"))
+        hop = jump.select("conv_id", "msg_id", F.col("up").alias("_up"))
         more = paths.join(hop, ["conv_id", "msg_id"]).select("conv_id", "leaf_id", F.col("_up").alias("msg_id"), (F.col("depth") + step).alias("depth"))
         following = materialize(paths.union(more))
         if hop.isEmpty():
             discard(paths)
             return following
-        far = jump.join(jump.select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_far")), ["conv_id", "up"], "left").select("conv_id", "msg_id", F.col("_far").alias("up"))
+        far = jump.join(jump.select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_far")), ["conv_id", "up"]).select("conv_id", "msg_id", F.col("_far").alias("up"))
         after = materialize(far)
         discard(paths)
         discard(jump)
