@@ -8,7 +8,9 @@ of these prefixes meet by shingle, where length and positional filters apply; ca
 Sets that are equal form one class before anything else. In a shingle's bucket each entry first meets the entry in which that
 shingle stands earliest and its own neighbours only; after links found so have merged documents into components, the remaining
 pairs of different components are enumerated, inside the operator. A group of thousands of near copies costs as many
-pairs as it has members, and no link between different components is lost.
+pairs as it has members, and no link between different components is lost. So all links lie within components, where they are
+counted exactly: each pair of a component's classes that the length filter lets pass meets in one cell of at most two blocks
+of classes, and a cell's intersections are products of its 0/1 matrix of classes and shingles. No pair becomes a row.
 
 Defined results: null text, or text without words, has an empty set and is linked with nothing (n_shingles 0, component its own
 doc_id); fewer words than the shingle: the whole sequence is one shingle; rows of one doc_id count as one document if
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import U64, Words, blobs, connected_components, discard, lean, materialize, mix, partitions, prepare, ragged, slices, table, text_buffer, without
 
 CELLS = 1 << 20
+BLOCK_CLASSES = 1024
+BLOCK_SHINGLES = 1 << 21
 RANGES = 64
 _SET = "doc_id long, n int, s1 long, s2 long, prefix binary, ranges binary, shingles binary"
 _SET_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("prefix", pa.binary()), ("ranges", pa.binary()), ("shingles", pa.binary())])
@@ -220,21 +224,102 @@ def _suffix(percent: int):
     return lean(run)
 
 
-def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, spent: list[DataFrame] | None = None) -> DataFrame:
+def _linked(sets: list[np.ndarray], percent: int, first: int | None = None) -> np.ndarray:
+    """Links of each set with the others; with `first`, only those between the first so many sets and the rest."""
+    m, n = len(sets), np.array([len(x) for x in sets], np.int64)
+    of = np.repeat(np.arange(m), n)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[column]  # a shingle of one set is in no intersection
+    of, column = of[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    half = m if first is None else first
+    low = 0 if first is None else first
+    same = np.zeros((half, m - low), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        i, j = np.searchsorted(column, [at, at + 2048])
+        hit = np.zeros((m, min(2048, int(column[-1]) + 1 - at)), np.float32)
+        hit[of[i:j], column[i:j] - at] = 1
+        same += (hit[:half] @ hit[low:].T).astype(np.int64)
+    link = 100 * same >= percent * (n[:half, None] + n[None, low:] - same)
+    if first is None:
+        np.fill_diagonal(link, False)
+        return link.sum(axis=1)
+    return np.r_[link.sum(axis=1), link.sum(axis=0)]
+
+
+_CELL = ("component", "band", "i", "up", "j")
+_DEGREE = "n int, s1 long, s2 long, n_links long"
+_DEGREE_ARROW = pa.schema([("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("n_links", pa.int64())])
+
+
+def _degrees(percent: int):
+    """mapInArrow over rows sorted by cell, side and class: the links of each class that its cell holds."""
+
+    def counted(cell: tuple, rows: dict) -> pa.RecordBatch:
+        _, _, i, up, j = cell
+        keys = list(rows)  # rows of one class are given once
+        got = _linked([_whole(rows[k], k[1]) for k in keys], percent, sum(k[0] == 0 for k in keys) if up or i != j else None)
+        return table(_DEGREE_ARROW, [[k[1] for k in keys], [k[2] for k in keys], [k[3] for k in keys], got])
+
+    def run(batches):
+        cell, rows = None, {}
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in (*_CELL, "side", "n", "s1", "s2", "shingles")]
+            for component, band, i, up, j, *key, shingles in zip(*cols, strict=True):
+                if (component, band, i, up, j) != cell:
+                    if len(rows) > 1:
+                        yield counted(cell, rows)
+                    cell, rows = (component, band, i, up, j), {}
+                rows[tuple(key)] = shingles
+        if len(rows) > 1:
+            yield counted(cell, rows)
+
+    return lean(run)
+
+
+def link_counts(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """n, s1, s2, n_links of the classes in members (n, s1, s2, rep, component): exact, over all pairs of one component.
+
+    A component above the size of a block is dealt by length, in bands so wide that sets which can link are in the same or in
+    neighbouring ones, and bands by hash into blocks; each pair of blocks of one or two neighbouring bands is a cell.
+    """
+    wide = max(float(np.log(100 / percent)) * 1.0001, 1e-6)
+    size = (F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    large = members.groupBy("component").agg(*size).where((F.col("m") > BLOCK_CLASSES) | (F.col("total") > BLOCK_SHINGLES)).select("component", F.lit(True).alias("_large"))
+    banded = members.join(F.broadcast(large), "component", "left").withColumn("band", F.when(F.col("_large"), F.floor(F.log("n") / wide)).otherwise(F.lit(0)).cast("long"))
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    blocks = materialize(banded.where("_large").groupBy("component", "band").agg(*size).select("component", "band", parts.alias("parts")))
+    near = lambda step, name: F.broadcast(blocks.select("component", (F.col("band") + step).alias("band"), F.col("parts").alias(name)))
+    dealt = banded.join(near(0, "_own"), ["component", "band"], "left").join(near(-1, "_up"), ["component", "band"], "left").join(near(1, "_down"), ["component", "band"], "left")
+    block = F.pmod(F.xxhash64("s1", "s2"), F.coalesce("_own", F.lit(1))).cast("int")
+    each = lambda count, f: F.transform(F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.expr("CAST(array() AS array<int>)")), f)
+    cell = lambda band, i, up, j, side: F.struct(band.alias("band"), i.alias("i"), F.lit(up).alias("up"), j.alias("j"), side.alias("side"))
+    b = F.col("_b")
+    cells = F.concat(each(F.coalesce("_own", F.lit(1)), lambda k: cell(F.col("band"), F.least(b, k), 0, F.greatest(b, k), (b > k).cast("int"))), each(F.col("_up"), lambda k: cell(F.col("band"), b, 1, k, F.lit(0))), each(F.col("_down"), lambda k: cell(F.col("band") - 1, k, 1, b, F.lit(1))))
+    known = dealt.withColumn("_b", block).select("component", "n", "s1", "s2", F.col("rep").alias("doc_id"), cells.alias("_cells"))
+    full = sets.select("doc_id", "n", "s1", "s2", "shingles").join(known, ["doc_id", "n", "s1", "s2"])
+    rows = full.select("component", "n", "s1", "s2", "shingles", F.explode("_cells").alias("_c")).select("component", "_c.*", "n", "s1", "s2", "shingles")
+    placed = rows.repartition(partitions(sets.sparkSession), *_CELL).sortWithinPartitions(*_CELL, "side", "s1", "s2")
+    return placed.mapInArrow(_degrees(percent), _DEGREE).groupBy("n", "s1", "s2").agg(F.sum("n_links").alias("n_links"))
+
+
+def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, spent: list[DataFrame] | None = None, counts: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (classes of equal sets linked with the document's class) of each row of docs (doc_id, text).
 
     Documents link when 100 x intersection >= percent x union of their sets of shingles of so many lower-cased words.
-    spent: takes the tables that the result reads; a caller who has written the result may discard them.
+    spent: takes the tables that the result reads; a caller who has written the result may discard them. counts: whether to count links,
+    else the result has no n_links.
     """
     spark = docs.sparkSession
     prepare(spark)
     n_parts = partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chunks = docs.select("text").where("text IS NOT NULL").mapInArrow(_sketch(shingle), "chunk int, counts binary").repartition(16, "chunk").mapInArrow(_total, "chunk int, counts binary").collect()
-    counts = np.zeros((16, CELLS // 16), np.uint32)
+    levels = np.zeros((16, CELLS // 16), np.uint32)
     for row in chunks:  # a fixed 4 MB, whatever the input
-        counts[row[0]] = np.frombuffer(row[1], np.uint32)
-    shared = spark.sparkContext.broadcast(counts.reshape(-1))
+        levels[row[0]] = np.frombuffer(row[1], np.uint32)
+    shared = spark.sparkContext.broadcast(levels.reshape(-1))
     sets = materialize(docs.where("doc_id IS NOT NULL").mapInArrow(_sets(shingle, percent, shared), _SET))
     small = sets.select("doc_id", "n", "s1", "s2")
     reps = materialize(sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.min_by("prefix", "doc_id").alias("prefix"), F.min_by("ranges", "doc_id").alias("ranges")).select("rep", "n", "s1", "s2", "prefix", "ranges"))
@@ -262,9 +347,18 @@ def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, spent: l
     more = materialize(verified(rest))
     every = links.union(more)
     final = connected_components(every.union(merged.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-    degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = reps.select("rep", "n", "s1", "s2").join(final.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = small.join(classes, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = reps.select("rep", "n", "s1", "s2").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("n", "s1", "s2", "rep", F.coalesce("component", "rep").alias("component_id"))
+    out = small.join(classes.drop("rep"), ["n", "s1", "s2"], "left").select("doc_id", "n", "s1", "s2", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if counts:
+        # a class alone in its component has no link; rows of one doc_id with different sets are classes of one component
+        linked = final.union(reps.groupBy("rep").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").join(final, F.col("rep") == F.col("id"), "left_anti").select(F.col("rep").alias("id"), F.col("rep").alias("component")))
+        members = materialize(reps.select("n", "s1", "s2", "rep").join(linked.withColumnRenamed("id", "rep"), "rep"))
+        degree = materialize(link_counts(members, sets, percent))
+        discard(members)
+        out = out.join(degree, ["n", "s1", "s2"], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+        if spent is not None:
+            spent.append(degree)
+    out = out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", *["n_links"] * counts)
     discard(tried)
     if spent is not None:
         spent += [sets, reps, links, rest, more]
@@ -274,7 +368,7 @@ def ngram_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, spent: l
 def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row of each class of docs, the one of smallest doc_id; rows without words and rows of null doc_id stay as they are."""
     spent: list[DataFrame] = []
-    classes = materialize(ngram_classes(docs, shingle, percent, spent).where("doc_id <> component_id").select("doc_id").distinct())
+    classes = materialize(ngram_classes(docs, shingle, percent, spent, counts=False).where("doc_id <> component_id").select("doc_id").distinct())
     for x in spent:
         discard(x)
     kept = docs.join(classes, docs["doc_id"] == classes["doc_id"], "left_anti")

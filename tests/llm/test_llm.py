@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagestrata.llm import media, packing
+from pagestrata.llm import media, ngram_join, packing
 from pagestrata.llm.chat import digests, format_paths, read_back, threads
 from pagestrata.llm.common import connected_components
 from pagestrata.llm.html_extract import extract_main_text
@@ -110,6 +110,27 @@ def test_ngram_classes(spark, docs):
     assert drop_near_copies(docs).where("doc_id = 6").count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_ngram_links_are_all_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", block)
+    rng = np.random.default_rng(8)
+    texts = [None, "", "one"]
+    for size, group in ((100, 40), (150, 3), (60, 9)):
+        base = [f"v{i}" for i in rng.integers(0, 500, size)]
+        for _ in range(group):
+            t = list(base)
+            for j in rng.integers(0, size, rng.integers(0, 4)):
+                t[j] = f"v{rng.integers(0, 500)}"
+            texts.append(" ".join(t[rng.integers(0, 9) :]))
+    rows = [*enumerate([*texts, texts[5], texts[6]]), (7, texts[8]), (7, texts[7])]
+    words = {t: WORD.findall(t or "") for _, t in rows}
+    sets = {t: frozenset(tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset() for t, w in words.items()}
+    like = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    want = sorted((d, sum(like(sets[t], x) for x in set(sets.values()) if x and x != sets[t]) if sets[t] else 0) for d, t in rows)
+    got = sorted((r.doc_id, r.n_links) for r in ngram_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 80).collect())
+    assert got == want and max(n for _, n in want) > 20
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101), (None, 3)], "a long, b long")
     got = {r.id: r.component for r in connected_components(edges).collect()}
