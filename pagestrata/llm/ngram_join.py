@@ -106,7 +106,7 @@ def _sets(k: int, percent: int, shared):
                 order = np.lexsort((h, level[(h >> U64(44)).astype(np.int64)], doc))
                 keep = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
                 prefix = h[order][ragged(first[:-1], keep)]
-                cell = np.bincount(doc * RANGES + ((h >> U64(20)) & U64(RANGES - 1)).astype(np.int64), minlength=n_docs * RANGES).astype(np.uint16)
+                cell = np.bincount(doc * RANGES + ((h >> U64(20)) & U64(RANGES - 1)).astype(np.int64), minlength=n_docs * RANGES).astype(np.uint32)
                 top = h >> U64(16)
                 high, low = blobs((top >> U64(16)).astype(np.uint32), doc, n_docs), blobs((top & U64(0xFFFF)).astype(np.uint16), doc, n_docs)
                 yield table(_SET_ARROW, [ids[i:j], n.astype(np.int32), s1.view(np.int64), s2.view(np.int64), blobs(prefix, np.repeat(np.arange(n_docs), keep), n_docs), [x.tobytes() for x in cell.reshape(n_docs, RANGES)], [a + b for a, b in zip(high, low, strict=True)]])
@@ -216,7 +216,7 @@ def _suffix(percent: int):
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, RANGES).astype(np.int32) for c in ("ra", "rb"))
+            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, RANGES).astype(np.int64) for c in ("ra", "rb"))
             need = -(-percent * (na + nb) // (100 + percent))
             ok = np.abs(ra - rb).sum(axis=1) <= na + nb - 2 * need
             yield table(schema, [batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))])

@@ -131,6 +131,18 @@ def test_ngram_links_are_all_counted(spark, monkeypatch, block):
     assert got == want and max(n for _, n in want) > 20
 
 
+def test_range_counts_do_not_wrap(monkeypatch):
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(ngram_join, "RANGES", 1)
+    base = " ".join(f"w{i}" for i in range(65_500))
+    texts = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [base, base + "".join(f" x{i}" for i in range(100))]})
+    level = SimpleNamespace(value=np.zeros(ngram_join.CELLS, np.uint32))
+    made = [r for out in ngram_join._sets(3, 90, level)([texts]) for r in out.select(["n", "ranges"]).to_pylist()]
+    pair = {"a": [1], "b": [2]} | {f"n{x}": pa.array([made[i]["n"]], pa.int32()) for i, x in enumerate("ab")} | {f"r{x}": [made[i]["ranges"]] for i, x in enumerate("ab")}
+    assert sum(len(x) for x in ngram_join._suffix(90)([pa.RecordBatch.from_pydict(pair)])) == 1
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101), (None, 3)], "a long, b long")
     got = {r.id: r.component for r in connected_components(edges).collect()}
