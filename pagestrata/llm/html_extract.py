@@ -1,13 +1,13 @@
-"""HTML extraction by equivalence classes of tokens across pages of one host.
+"""HTML extraction by tags, names and roles, with host templates for pages that mark no article.
 
-A token is an element's path (tags with class and id) or a short text outside the article at its path. For each host and token the vector of
-its counts over the host's pages is summarised by an additive fingerprint, so one aggregation with partial sums finds all tokens
-that share an occurrence vector. A class is valid if it holds on at least `support` pages with the same vector as the page
-skeleton or recurs on most pages of the host; valid classes, nested by their paths, are the host's template. What lies between template tokens are slots;
-the article's slots are extracted, template text around it is not.
-
-The article is the first of: `article` elements, `main` or role=main, the slot with most text that is not navigation. Inside it menus,
+Pages with `article`, `main` or such roles: the article is all `article` elements, else `main` or role=main; no template takes part. Inside it menus,
 headers of the page, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out, by tag, role, class and id.
+
+Other pages: all text that these rules leave and that is no template text of the host. A token is an element's path (tags with class and id)
+or a whole text outside the article at its path. For each host and token the vector of its counts over the host's distinct page contents is summarised
+by an additive fingerprint, so one aggregation with partial sums finds all tokens with the vector of the page skeleton, which is once on each content.
+This one class is the template, on hosts with at least `support` contents; classes of other vectors are neither formed nor nested.
+
 Blocks are block-level elements; white space inside one (line-break elements count as white space) becomes one space.
 
 Defined results: null html is empty text; pages of null url form a host of their own; repeated rows are extracted one by one.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -153,15 +154,9 @@ def main_text(page: str, template: frozenset) -> str:
     else:
         wanted = None
     if wanted is None:
-        # slots: texts that are not template tokens, by the path of their parent
-        sizes: dict[str, int] = {}
-        for _, text, path, _, out in texts:
-            if not out and _token("t", f"{path} {' '.join(text.split())}") not in template:
-                parent = path.rsplit("/", 1)[0]
-                sizes[parent] = sizes.get(parent, 0) + len(text.strip())
-        best = max(sizes, key=lambda k: (sizes[k], k), default="")
-        wanted = lambda article, path: path.startswith(best)
-        texts = [t for t in texts if _token("t", f"{t[2]} {' '.join(t[1].split())}") not in template or not t[1].strip()]
+        # every slot between template texts is content
+        wanted = lambda article, path: True
+        texts = [t for t in texts if not t[1].strip() or _token("t", f"{t[2]} {' '.join(t[1].split())}") not in template]
     blocks: dict[int, list[str]] = {}
     for block, text, path, article, out in texts:
         if not out and wanted(article, path):
@@ -170,42 +165,53 @@ def main_text(page: str, template: frozenset) -> str:
     return "\n".join(x for x in done if x)
 
 
-_STATS = "host string, token long, vector long, pages long, total long"
-_STATS_ARROW = pa.schema([("host", pa.string()), ("token", pa.int64()), ("vector", pa.int64()), ("pages", pa.int64()), ("total", pa.int64())])
+_PAGE = "host string, content binary, tokens binary, counts binary"
+_PAGE_ARROW = pa.schema([("host", pa.string()), ("content", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary())])
+_STATS = "host string, token long, vector long, pages long"
+_STATS_ARROW = pa.schema([("host", pa.string()), ("token", pa.int64()), ("vector", pa.int64()), ("pages", pa.int64())])
+
+
+def _tokens(batches):
+    """Digest, tokens and their counts of each page; token 0 stands for the page's skeleton."""
+    for batch in batches:
+        rows = []
+        for host, page in zip(*[batch.column(c).to_pylist() for c in ("host", "html")], strict=True):
+            counts = page_tokens(page or "")
+            counts[0] = 1
+            rows.append((host, blake2b((page or "").encode(), digest_size=16).digest(), np.fromiter(counts, np.int64, len(counts)).tobytes(), np.fromiter(counts.values(), np.uint32, len(counts)).tobytes()))
+        yield table(_PAGE_ARROW, [list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 4)
 
 
 def _gather(batches):
-    """Partial sums by host and token of one batch; token 0 counts pages and carries the skeleton's vector."""
+    """Partial sums by host and token of one batch of distinct contents."""
     mask = (1 << 64) - 1
     for batch in batches:
         sums: dict = {}
-        for page_id, host, page in zip(*[batch.column(c).to_pylist() for c in ("page_id", "host", "html")], strict=True):
-            counts = page_tokens(page or "")
-            counts[0] = 1
-            for token, n in counts.items():
-                x = ((page_id or 0) * 0x9E3779B97F4A7C15 + n * 0xC2B2AE3D27D4EB4F) & mask
+        for host, content, tokens, counts in zip(*[batch.column(c).to_pylist() for c in ("host", "content", "tokens", "counts")], strict=True):
+            seed = int.from_bytes(content[:8], "little")
+            for token, n in zip(np.frombuffer(tokens, np.int64).tolist(), np.frombuffer(counts, np.uint32).tolist(), strict=True):
+                x = (seed * 0x9E3779B97F4A7C15 + n * 0xC2B2AE3D27D4EB4F) & mask
                 x ^= x >> 29
                 x = x * 0xBF58476D1CE4E5B9 & mask
                 x ^= x >> 32
-                s = sums.setdefault((host, token), [0, 0, 0])
-                s[0], s[1], s[2] = (s[0] + x) & mask, s[1] + 1, s[2] + n
+                s = sums.setdefault((host, token), [0, 0])
+                s[0], s[1] = (s[0] + x) & mask, s[1] + 1
         keys = list(sums)
-        values = np.array([sums[k] for k in keys], np.uint64).reshape(-1, 3)
-        yield table(_STATS_ARROW, [[k[0] for k in keys], [k[1] for k in keys], values[:, 0].view(np.int64) if len(keys) else [], values[:, 1].astype(np.int64), values[:, 2].astype(np.int64)])
+        values = np.array([sums[k] for k in keys], np.uint64).reshape(-1, 2)
+        yield table(_STATS_ARROW, [[k[0] for k in keys], [k[1] for k in keys], values[:, 0].view(np.int64) if len(keys) else [], values[:, 1].astype(np.int64)])
 
 
 def host_templates(pages: DataFrame, support: int = 2) -> DataFrame:
-    """host, template (tokens): classes of tokens with one occurrence vector that are on most pages of the host.
+    """host, template (tokens): the tokens that are once on each distinct content of the host, of which there are at least `support`.
 
     The fingerprint of a vector is a sum modulo 2^64, kept as two sums of 32 bits so that no sum overflows.
     """
-    stats = pages.mapInArrow(_gather, _STATS).groupBy("host", "token").agg(F.sum(F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF))).alias("v1"), F.sum(F.shiftrightunsigned("vector", 32)).alias("v2"), F.sum("pages").alias("pages"), F.sum("total").alias("total"))
+    contents = pages.mapInArrow(_tokens, _PAGE).dropDuplicates(["host", "content"])
+    stats = contents.mapInArrow(_gather, _STATS).groupBy("host", "token").agg(F.sum(F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF))).alias("v1"), F.sum(F.shiftrightunsigned("vector", 32)).alias("v2"), F.sum("pages").alias("pages"))
     common = stats.where(F.col("pages") >= support)
-    skeleton = stats.where("token = 0").select(F.col("host").alias("_h"), F.col("pages").alias("_n"))
-    # tokens on less than half of a host's pages can be in no class that its template holds
-    kept = common.join(skeleton, F.col("host").eqNullSafe(F.col("_h"))).where("token <> 0 AND 2 * pages >= _n")
-    classes = kept.groupBy("host", "v1", "v2", "pages").agg(F.collect_list("token").alias("tokens"))
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    # the skeleton and the tokens of its vector are one class of a host
+    classes = common.groupBy("host", "v1", "v2", "pages").agg(F.collect_set("token").alias("tokens")).where(F.array_contains("tokens", F.lit(0).cast("long")))
+    return classes.select("host", F.filter("tokens", lambda t: t != 0).alias("template"))
 
 
 def _extract(names: list[str]):
@@ -227,7 +233,7 @@ def extract_main_text(pages: DataFrame, salt: int = 16) -> DataFrame:
     """pages (page_id, url, html, any more columns; html left out) with text and n_chars."""
     prepare(pages.sparkSession)
     base = without(pages, "text", "n_chars", "host", "template", "_salt").withColumn("html", F.col("html").cast("string")).withColumn("host", F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1), F.lit("")))
-    templates = host_templates(base.select(F.col("page_id").cast("long").alias("page_id"), "host", "html"))
+    templates = host_templates(base.select("host", "html"))
     spread = templates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))).withColumn("_salt", F.col("_salt").cast("long"))
     salted = base.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(salt)))
     names = [c for c in base.columns if c not in ("html", "host")]

@@ -264,6 +264,17 @@ def test_html(spark):
     assert got == {1: "Head & more\nOne two three four\nFive " + html.unescape("&eacute;"), 2: "", 3: "", 4: "plain text only here", 5: "cut"}
 
 
+def test_html_keeps_copied_and_split_text(spark):
+    def page(*parts):
+        return "<body><div class='top'>Site name</div>" + "".join(f"<div class='part{i}'><p>{x}</p></div>" for i, x in enumerate(parts)) + "</body>"
+
+    pages = [("a", page("One two.", "Three.")), ("a", page("One two.", "Three.")), ("b", page("Long text of b.", "Short.")), ("b", page("Shared.", "Other.")), ("b", page("Shared.", "Third.")), ("b", page("Shared.", "Other."))]
+    rows = [(i, f"http://{h}.c/{i}", x) for i, (h, x) in enumerate(pages)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    whole = "Site name\nOne two.\nThree."  # one content is no evidence of a template
+    assert got == {0: whole, 1: whole, 2: "Long text of b.\nShort.", 3: "Shared.\nOther.", 4: "Shared.\nThird.", 5: "Shared.\nOther."}
+
+
 def test_quality(spark, docs):
     rng = np.random.default_rng(6)
     good, bad = ["river", "house", "green", "walks", "and"], ["buy", "click", "$$$", "now", "win"]
