@@ -217,8 +217,8 @@ cl AS (SELECT doc_id, page, CASE WHEN wa / ba > 0.5 AND wpl > 3 THEN 'text' WHEN
 
 @query(f"WITH {_CASCADE} SELECT doc_id, page, label FROM cl")
 def page_class_cascade(spark, sf_dir):
-    """Rules that SQL can express; page_class_full adds title layouts."""
-    return P.cascade(_pages(spark, sf_dir), F.lit("en"), title=False)
+    """Rules that SQL can express, though its keywords are the English ones on all pages; page_class_full adds title layouts."""
+    return P.cascade(P.with_language(_pages(spark, sf_dir)), F.col("lang"), title=False)
 
 
 @query(f"WITH {_CASCADE} SELECT doc_id, page, {', '.join(f'CAST(label = {_quoted(c)} AS INTEGER) AS {c}' for c in V.CLASSES)} FROM cl")
@@ -353,7 +353,7 @@ def map_like_words(spark, sf_dir):
 @query()
 def page_class_full(spark, sf_dir):
     """All rules with title layouts; tested against a plain model."""
-    return P.cascade(_pages(spark, sf_dir), F.lit("en"))
+    return P.cascade(P.with_language(_pages(spark, sf_dir)), F.col("lang"))
 
 
 @query()
@@ -369,7 +369,7 @@ def sidebars(spark, sf_dir):
 
 @query()
 def page_features(spark, sf_dir):
-    return P.page_features(_pages(spark, sf_dir), F.lit("en"))
+    return P.page_features(P.with_language(_pages(spark, sf_dir)), F.col("lang"))
 
 
 @query("SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY (vec_id * 2654435761) % 1000003, vec_id) AS n FROM embeddings) WHERE n <= CASE label WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 5 END")

@@ -76,6 +76,12 @@ def word_density(pages: DataFrame) -> DataFrame:
     return annotate(pages.select("doc_id", "page", "lines")).select("doc_id", "page", mean_words().alias("words_per_line"), F.coalesce(F.try_divide("word_area", "block_area"), F.lit(0.0)).alias("density"))
 
 
+def with_language(pages: DataFrame) -> DataFrame:
+    """pages with lang: the classification language of each page's text, which picks its keywords."""
+    scored = pages.withColumn("_text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n")).withColumn("_scores", X.language_scores(F.col("_text"), V.STOP_WORDS)).withColumn("_words", X.nontrivial_words(F.col("_text")))
+    return scored.withColumn("lang", X.classification_language(F.col("_scores"), F.col("_words"))).drop("_text", "_scores", "_words")
+
+
 def material_lines(pages: DataFrame, lang: Column) -> Column:
     return F.filter("lines", lambda x: X.is_description(x["text"], lang, V.MATERIAL, V.MATERIAL_NOT))
 

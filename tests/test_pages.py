@@ -67,6 +67,15 @@ def test_same_as_sql(spark, name):
     pd.testing.assert_frame_equal(tidy(catalog.QUERIES[name](spark, SF).toPandas()), tidy(con.execute(catalog.ORACLES[name]).df()))
 
 
+def test_keywords_follow_the_language_of_each_page(spark, tmp_path):
+    texts = ["der Kies und die Bohrung, nicht grau", "le gravier et les argileux dans les grandes couches", "the gravel and the brown layers of the river under water", "Kies grau"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.description_count for r in catalog.QUERIES["page_features"](spark, str(tmp_path)).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 1}
+    spark.createDataFrame([(0, "Geologischer Schnitt\nund die Karte ist\nnicht das Projekt")], "doc_id long, text string").write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    assert [r.label for r in catalog.QUERIES["page_class_full"](spark, str(tmp_path)).collect()] == ["geo_profile"]
+
+
 def test_jobs_run_once(spark, tmp_path):
     from pagestrata.streaming import run_jobs
 
