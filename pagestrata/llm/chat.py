@@ -9,7 +9,7 @@ their messages, the best `branches` are kept, and each path becomes one conversa
 In texts a backslash becomes two and `<|` becomes `<\\|`, so no text can hold a control string and reading back is exact; roles are
 URL-encoded. The loss mask is a list of spans (start, length, in code points) over the formatted string, one for each assistant text.
 
-Defined results: null text is empty, null role is an empty role; rows of null turn come first, equal turns stand in order of role and
+Defined results: null text is empty, null role is an empty role; rows of null conv_id are one conversation; rows of null turn come first, equal turns stand in order of role and
 text; a parent that does not exist makes its message a root; messages in a cycle have no root and are left out; null
 scores count as 0, equal branches are ranked by leaf id.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import discard, materialize
 
 START, END = "<|im_start|>", "<|im_end|>"
+KEY = ("conv_id", "_none")  # rows of null conv_id are one conversation
 
 
 def escape(text: Column) -> Column:
@@ -40,21 +41,21 @@ def threads(turns: DataFrame) -> DataFrame:
 
 
 def root_to_leaf(messages: DataFrame) -> DataFrame:
-    """conv_id, leaf_id, msg_id, depth (0 at the leaf): the rows of every path from a root to a leaf."""
-    nodes = messages.select("conv_id", "msg_id", "parent_id")
-    ids = nodes.select("conv_id", F.col("msg_id").alias("parent_id"))
-    linked = nodes.join(ids.withColumn("_is", F.lit(True)), ["conv_id", "parent_id"], "left").select("conv_id", "msg_id", F.when(F.col("_is"), F.col("parent_id")).alias("up"))
-    leaves = nodes.join(nodes.select("conv_id", F.col("parent_id").alias("msg_id")).where("msg_id IS NOT NULL").distinct(), ["conv_id", "msg_id"], "left_anti")
-    paths = materialize(leaves.select("conv_id", F.col("msg_id").alias("leaf_id"), "msg_id", F.lit(0).cast("long").alias("depth")))
+    """conv_id, _none, leaf_id, msg_id, depth (0 at the leaf): the rows of every path from a root to a leaf; messages have both keys."""
+    nodes = messages.select(*KEY, "msg_id", "parent_id")
+    ids = nodes.select(*KEY, F.col("msg_id").alias("parent_id"))
+    linked = nodes.join(ids.withColumn("_is", F.lit(True)), [*KEY, "parent_id"], "left").select(*KEY, "msg_id", F.when(F.col("_is"), F.col("parent_id")).alias("up"))
+    leaves = nodes.join(nodes.select(*KEY, F.col("parent_id").alias("msg_id")).where("msg_id IS NOT NULL").distinct(), [*KEY, "msg_id"], "left_anti")
+    paths = materialize(leaves.select(*KEY, F.col("msg_id").alias("leaf_id"), "msg_id", F.lit(0).cast("long").alias("depth")))
     jump, step = materialize(linked.where("up IS NOT NULL")), 1  # messages whose jump would pass the root leave
     while True:
-        hop = jump.select("conv_id", "msg_id", F.col("up").alias("_up"))
-        more = paths.join(hop, ["conv_id", "msg_id"]).select("conv_id", "leaf_id", F.col("_up").alias("msg_id"), (F.col("depth") + step).alias("depth"))
+        hop = jump.select(*KEY, "msg_id", F.col("up").alias("_up"))
+        more = paths.join(hop, [*KEY, "msg_id"]).select(*KEY, "leaf_id", F.col("_up").alias("msg_id"), (F.col("depth") + step).alias("depth"))
         following = materialize(paths.union(more))
         if hop.isEmpty():
             discard(paths)
             return following
-        far = jump.join(jump.select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_far")), ["conv_id", "up"]).select("conv_id", "msg_id", F.col("_far").alias("up"))
+        far = jump.join(jump.select(*KEY, F.col("msg_id").alias("up"), F.col("up").alias("_far")), [*KEY, "up"]).select(*KEY, "msg_id", F.col("_far").alias("up"))
         after = materialize(far)
         discard(paths)
         discard(jump)
@@ -65,17 +66,19 @@ def root_to_leaf(messages: DataFrame) -> DataFrame:
 
 def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """conv_id, branch (rank from 1), n_turns, formatted, loss_spans of the best paths of each conversation."""
+    none = F.lit(0).cast(messages.schema["conv_id"].dataType)
+    messages = messages.withColumn("_none", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", none))
     paths = root_to_leaf(messages)
-    body = messages.select("conv_id", "msg_id", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score"))
-    full = paths.join(body, ["conv_id", "msg_id"])
-    ranked = full.groupBy("conv_id", "leaf_id").agg(F.avg("score").alias("_mean")).withColumn("branch", F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("_mean"), "leaf_id"))).where(F.col("branch") <= branches).drop("_mean")
+    body = messages.select(*KEY, "msg_id", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score"))
+    full = paths.join(body, [*KEY, "msg_id"])
+    ranked = full.groupBy(*KEY, "leaf_id").agg(F.avg("score").alias("_mean")).withColumn("branch", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("_mean"), "leaf_id"))).where(F.col("branch") <= branches).drop("_mean")
     head = F.concat(F.lit(START), F.url_encode(F.coalesce("role", F.lit(""))), F.lit("\n"))
-    turns = full.join(ranked, ["conv_id", "leaf_id"]).withColumn("_head", head).withColumn("_body", escape(F.col("text"))).withColumn("_all", F.concat("_head", "_body", F.lit(END + "\n")))
-    before = Window.partitionBy("conv_id", "branch").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, -1)
+    turns = full.join(ranked, [*KEY, "leaf_id"]).withColumn("_head", head).withColumn("_body", escape(F.col("text"))).withColumn("_all", F.concat("_head", "_body", F.lit(END + "\n")))
+    before = Window.partitionBy(*KEY, "branch").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, -1)
     placed = turns.withColumn("_at", F.coalesce(F.sum(F.length("_all")).over(before), F.lit(0)))
     span = F.when(F.col("role") == "assistant", F.struct((F.col("_at") + F.length("_head")).alias("start"), F.length("_body").cast("long").alias("length")))
-    grouped = placed.groupBy("conv_id", "branch").agg(F.count(F.lit(1)).alias("n_turns"), F.array_sort(F.collect_list(F.struct("_at", "_all"))).alias("_turns"), F.array_sort(F.collect_list(span)).alias("loss_spans"))
-    return grouped.select("conv_id", "branch", "n_turns", F.array_join(F.transform("_turns", lambda t: t["_all"]), "").alias("formatted"), "loss_spans")
+    grouped = placed.groupBy(*KEY, "branch").agg(F.count(F.lit(1)).alias("n_turns"), F.array_sort(F.collect_list(F.struct("_at", "_all"))).alias("_turns"), F.array_sort(F.collect_list(span)).alias("loss_spans"))
+    return grouped.select(F.when(~F.col("_none"), F.col("conv_id")).alias("conv_id"), "branch", "n_turns", F.array_join(F.transform("_turns", lambda t: t["_all"]), "").alias("formatted"), "loss_spans")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

@@ -189,6 +189,11 @@ def test_chat(spark):
     assert digests(format_paths(threads(turns.where("false")))).count() == 0
 
 
+def test_chat_of_null_id_is_one_conversation(spark):
+    turns = spark.createDataFrame([(None, 0, "user", "q"), (None, 1, "assistant", "ans"), (0, 0, "user", "other")], "conv_id long, turn long, role string, text string")
+    assert sorted((r.conv_id is None, r.n_turns, r.loss_chars) for r in digests(format_paths(threads(turns))).collect()) == [(False, 1, 0), (True, 2, 3)]
+
+
 def test_reply_tree_keeps_best_branches(spark):
     tree = spark.createDataFrame([(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "bad", 0.1), (1, 3, 1, "assistant", "good", 0.9), (1, 4, 3, "user", "more", 0.5)], "conv_id long, msg_id long, parent_id long, role string, text string, score double")
     best = read_back(format_paths(tree, branches=1)).collect()
