@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,8 @@ from ..shipping import ship
 
 SLICE_BYTES = 2 << 20
 U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_powers: dict[str, np.ndarray] = {}
+PART_BYTES = 32 << 20
+_NO_WORD = U64(0xA5A5A5A5DEADBEEF)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,7 +61,6 @@ def lean(run):
         import ctypes
 
         yield from run(batches)
-        _powers.clear()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
@@ -75,6 +73,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts_for(df: DataFrame) -> int:
+    """Number of parts for stages that hold a part in memory: it grows with the bytes that the plan of df expects to read."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(partitions(df.sparkSession), -(-size // PART_BYTES) if size < 1 << 60 else 1)  # no expectation where a source states none
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """df without its columns of these names in any case: an operator's own output columns replace clashing ones."""
     taken = {n.lower() for n in names}
@@ -91,19 +95,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(kind: str, base: int, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + (1 << 16))
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        with np.errstate(over="ignore"):
-            have = np.multiply.accumulate(have)
-        if size <= 16 << 20:
-            _powers[kind] = have
-    return have
-
-
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts together and the len + 1 offsets of each; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -128,7 +119,11 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """Words of a run of texts: doc (index of the text), start and end bytes, hash; first[i]..first[i+1] are those of text i."""
+    """Words of a run of texts: doc (index of the text), start and end bytes; first[i]..first[i+1] are those of text i.
+
+    word numbers the distinct words of the run: equal numbers are equal words. hash and check are the halves of a 128-bit BLAKE2b digest of each word, the
+    same in all runs; nobody knows two words of one digest.
+    """
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
         raw, offsets = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
@@ -148,12 +143,14 @@ class Words:
         self.end = np.flatnonzero(inside & (~after | begins[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(_TABLE[raw] * _power("base", _BASE, n + 1)[:n], out=sums[1:])
-            self.hash = mix((sums[self.end] - sums[self.start]) * _power("inverse", _INVERSE, n + 1)[self.start])
-
-    def windows(self, k: int, factor: int = 0xD6E8FEB86659FD93) -> tuple[np.ndarray, np.ndarray]:
+        cuts = np.concatenate([[0], np.cumsum(self.end - self.start)])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(cuts), pa.py_buffer(raw[inside])]).dictionary_encode()
+        self.word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.n_distinct = len(words.dictionary)
+        made = np.frombuffer(b"".join([blake2b(x, digest_size=16).digest() for x in words.dictionary.to_pylist()]), np.uint64).reshape(-1, 2)
+        self.hash, self.check = (np.ascontiguousarray(made[:, k])[self.word] if len(made) else np.zeros(0, np.uint64) for k in (0, 1))
+
+    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each position on, and whether they all are of one text."""
         n = len(self.hash) - k + 1
         if n <= 0:
@@ -161,10 +158,43 @@ class Words:
         with np.errstate(over="ignore"):
             out = self.hash[:n].copy()
             for j in range(1, k):
-                out *= U64(factor)
+                out *= U64(0xD6E8FEB86659FD93)
                 out += self.hash[j : j + n]
             return mix(out), self.doc[:n] == self.doc[k - 1 :]
 
+    def digests(self, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Halves of the 128-bit digest of the k words from each of the given positions on: equal for equal words only."""
+        whole = memoryview(np.stack([self.hash, self.check], axis=1).tobytes())
+        got = np.frombuffer(b"".join([blake2b(whole[p : p + 16 * k], digest_size=16).digest() for p in (at * 16).tolist()]), np.uint64).reshape(-1, 2)
+        return got[:, 0].copy(), got[:, 1].copy()
+
+    def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions where a shingle begins, k words of one text or all words of a shorter one, and the end of its text."""
+        stop = self.first[1:][self.doc]
+        at = np.arange(len(self.doc))
+        begins = np.flatnonzero((at + k <= stop) | (at == self.first[:-1][self.doc]))
+        return begins, stop[begins]
+
+    def chained(self, begins: np.ndarray, stop: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent 64-bit hashes of each shingle."""
+        h, g = np.full(len(begins), k, np.uint64), np.full(len(begins), k + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(k):
+                at = begins + j
+                there, at = at < stop, np.minimum(at, len(self.hash) - 1)
+                h = mix(h * U64(0xD6E8FEB86659FD93) ^ np.where(there, self.hash[at], _NO_WORD))
+                g = mix(g * U64(0xA0761D6478BD642F) + np.where(there, self.check[at], _NO_WORD))
+        return h, g
+
+    def numbered(self, begins: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
+        """A number for each shingle, equal for equal words only; words are compared, not hashes."""
+        code = np.zeros(len(begins), np.int64)
+        for j in range(k):
+            at = begins + j
+            word = np.where(at < stop, self.word[np.minimum(at, len(self.word) - 1)], self.n_distinct)
+            code = np.unique(code * (self.n_distinct + 1) + word, return_inverse=True)[1]
+        return code
+
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All of starts[i] .. starts[i] + lengths[i] - 1, one after another."""

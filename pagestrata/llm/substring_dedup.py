@@ -1,14 +1,15 @@
 """Substring dedup: words covered by a window of words that also starts in a document of smaller doc_id are removed.
 
 Level-wise doubling. Windows of about half the wanted length (anchors) come first; windows repeated in another document
-alone are extended to twice that length, where they are compared by 128-bit hashes. Of the anchors only local minima of their hash are
+alone are extended to twice that length, where windows are compared by the 128-bit BLAKE2b digest of their words' digests. Of the anchors only local minima of their hash are
 exchanged: every window of the wanted length holds one, and equal windows hold equal ones, so no repeat is lost. What one
 batch of documents already knows (a hash seen in a smaller document) is settled there; one entry per hash and batch is
 sent on, so a passage that a third of all documents share meets as one entry per batch, not one per document.
 
 Defined results: null text has no words and stays null; a null doc_id takes no part, its text stays; rows of equal doc_id
 are never compared with each other; fewer words than the window: nothing is removed; white space between kept words
-becomes one space in changed texts only.
+becomes one space in changed texts only; an empty table gives no rows; input columns named n_words, n_removed or, with digest, kept_sha256
+are replaced, all others are kept (names with two leading underscores are the operator's own).
 """
 
 from __future__ import annotations
@@ -22,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Words, blobs, lean, mix, partitions, prepare, slices, table, text_buffer, without
+from .common import U64, Words, blobs, lean, mix, partitions, parts_for, prepare, slices, table, text_buffer, without
 
 _ENTRY = "part int, h binary, g binary, owner binary, n binary, at binary, told boolean"
 _ENTRY_ARROW = pa.schema([("part", pa.int32()), ("h", pa.binary()), ("g", pa.binary()), ("owner", pa.binary()), ("n", pa.binary()), ("at", pa.binary()), ("told", pa.bool_())])
-_OWNER = np.dtype([("doc", "<i8"), ("key", "<i4")])
+_OWNER = np.dtype([("doc", "<i8"), ("key", "<i8")])
 _ANSWER = "part int, owner binary, n binary, at binary"
 _ANSWER_ARROW = pa.schema([("part", pa.int32()), ("owner", pa.binary()), ("n", pa.binary()), ("at", pa.binary())])
-_PLACES = "doc_id long, key int, places binary"
-_PLACES_ARROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int32()), ("places", pa.binary())])
+_PLACES = "doc_id long, __key long, __places binary"
+_PLACES_ARROW = pa.schema([("doc_id", pa.int64()), ("__key", pa.int64()), ("__places", pa.binary())])
 
 
 def levels(length: int) -> list[int]:
@@ -103,7 +104,7 @@ def _send(h, g, doc, key, at, n_parts, any_other: bool):
         used = np.unique(p)
         dense, n = np.searchsorted(used, p), len(used)
         hs = (h[pick] & U64(0xFFFFFFFF)).astype(np.uint32) if any_other else h[pick]
-        gs = [b""] * n if any_other else blobs(g[pick].astype(np.uint32), dense, n)
+        gs = [b""] * n if any_other else blobs(g[pick], dense, n)
         if flag and any_other:
             owners = counts = ats = [b""] * n
         else:
@@ -127,8 +128,8 @@ def _level(k: int, length: int, size: int, n_parts: int):
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
-            ids, keys = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), batch.column("key").to_numpy(zero_copy_only=False)
-            found = None if first else batch.column("places").to_pylist()
+            ids, keys = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), batch.column("__key").to_numpy(zero_copy_only=False)
+            found = None if first else batch.column("__places").to_pylist()
             got = []
             for i, j in slices(offsets):
                 w = Words(raw, offsets[i : j + 1])
@@ -148,8 +149,8 @@ def _level(k: int, length: int, size: int, n_parts: int):
                 if not len(at):
                     continue
                 d = w.doc[at]
-                g = w.windows(k, 0xA0761D6478BD642F)[0][at] if final else np.zeros(len(at), np.uint64)
-                got.append((h[at], g, ids[i + d], keys[i + d], at - w.first[d]))
+                head, tail = w.digests(at, k) if final else (h[at], np.zeros(len(at), np.uint64))
+                got.append((head, tail, ids[i + d], keys[i + d], at - w.first[d]))
             if got:
                 yield from _send(*[np.concatenate(x) for x in zip(*got, strict=True)], n_parts, not final)
 
@@ -168,7 +169,7 @@ def _meet(final: bool, n_parts: int):
                     continue
                 hs.append(np.frombuffer(h, np.uint64 if final else np.uint32))
                 n = len(hs[-1])
-                gs.append(np.frombuffer(g, np.uint32) if final else np.zeros(n, np.uint32))
+                gs.append(np.frombuffer(g, np.uint64) if final else np.zeros(n, np.uint64))
                 if owner:
                     owners.append(np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)))
                     ats.append(np.frombuffer(at, np.int32))
@@ -225,7 +226,7 @@ def _strip(length: int, digest: bool):
 
     def run(batches):
         for batch in batches:
-            texts, found = batch.column("text"), batch.column("places").to_pylist()
+            texts, found = batch.column("text"), batch.column("__places").to_pylist()
             n_words, n_removed, kept, sums = [], [], [], []
             for i, places in enumerate(found):
                 text = texts[i].as_py()
@@ -244,7 +245,7 @@ def _strip(length: int, digest: bool):
                     sums.append(hashlib.sha256(b" ".join(words)).hexdigest())
                 else:
                     kept.append(out)
-            cols = {c: batch.column(c) for c in batch.schema.names if c not in ("places", "text")}
+            cols = {c: batch.column(c) for c in batch.schema.names if c not in ("__places", "text")}
             if digest:
                 cols["kept_sha256"] = pa.array(sums, pa.string())
             else:
@@ -260,22 +261,23 @@ def substring_dedup(docs: DataFrame, length: int = 13, digest: bool = False) ->
 
     length: words of the window. digest: give kept_sha256 (kept words joined by one space) instead of the text.
     """
-    spark = docs.sparkSession
-    prepare(spark)
-    more = without(docs, "n_words", "n_removed", "kept_sha256", "places", "key")
-    keyed = more.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn("key", F.hash("text"))
-    texts = keyed.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "key")
-    parts = 4 * partitions(spark)
+    prepare(docs.sparkSession)
+    more = without(docs, "n_words", "n_removed", *["kept_sha256"] * digest)
+    keyed = more.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).withColumn("__key", F.xxhash64("text"))
+    texts = keyed.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "__key")
+    parts = parts_for(docs)
     steps, found = levels(length), None
+    # a hash join cannot spill: only where a partition's places are known to be few
+    small = (lambda x: x.hint("shuffle_hash")) if parts <= partitions(docs.sparkSession) else (lambda x: x)
     # every join below takes the same left side, columns and rows, so that its texts are shuffled once
     for n, k in enumerate(steps):
         if found is None:
-            entries = texts.mapInArrow(_level(k, length, 0, parts), _ENTRY)
+            entries = texts.mapInArrow(_level(k, length, 0, 4 * parts), _ENTRY)
         else:
-            entries = keyed.join(found.hint("shuffle_hash"), ["doc_id", "key"], "left").mapInArrow(_level(k, length, steps[n - 1], parts), _ENTRY)
-        answers = entries.repartition(partitions(spark), "part").mapInArrow(_meet(k == length, partitions(spark)), _ANSWER)
-        found = answers.repartition(partitions(spark), "part").mapInArrow(_gather, _PLACES)
-    joined = keyed.join(found.hint("shuffle_hash"), ["doc_id", "key"], "left").drop("key")
-    kept = [f for f in joined.schema.fields if f.name not in ("places", "text")]
+            entries = keyed.join(small(found), ["doc_id", "__key"], "left").mapInArrow(_level(k, length, steps[n - 1], 4 * parts), _ENTRY)
+        answers = entries.repartition(parts, "part").mapInArrow(_meet(k == length, parts), _ANSWER)
+        found = answers.repartition(parts, "part").mapInArrow(_gather, _PLACES)
+    joined = keyed.join(small(found), ["doc_id", "__key"], "left").drop("__key")
+    kept = [f for f in joined.schema.fields if f.name not in ("__places", "text")]
     out = joined.mapInArrow(_strip(length, digest), T.StructType([*kept, T.StructField("kept_sha256" if digest else "text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]))
     return out if digest else out.select(*[f"`{c}`" for c in more.columns], "n_words", "n_removed")
