@@ -9,9 +9,10 @@ their messages, the best `branches` are kept, and each path becomes one conversa
 In texts a backslash becomes two and `<|` becomes `<\\|`, so no text can hold a control string and reading back is exact; roles are
 URL-encoded. The loss mask is a list of spans (start, length, in code points) over the formatted string, one for each assistant text.
 
-Defined results: null text is empty, null role is an empty role; rows of null conv_id are one conversation; rows of null turn come first, equal turns stand in order of role and
-text; a parent that does not exist makes its message a root; messages in a cycle have no root and are left out; null
-scores count as 0, equal branches are ranked by leaf id.
+Defined results: null text is empty, null role is an empty role; rows of null conv_id are one conversation; rows of null turn come first, equal turns
+stand in order of role and text; a parent that does not exist makes its message a root; messages in a cycle, or that answer into one, have no root
+and are left out, found by jumps that do not end before they pass the longest conversation; rows of one msg_id in a conversation are one message, the
+first by parent, role and text; rows of null msg_id are left out; null scores count as 0, equal branches are ranked by leaf id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,34 +41,54 @@ def threads(turns: DataFrame) -> DataFrame:
     return numbered.withColumn("parent_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1)).withColumn("score", F.lit(0.0))
 
 
-def root_to_leaf(messages: DataFrame) -> DataFrame:
-    """conv_id, _none, leaf_id, msg_id, depth (0 at the leaf): the rows of every path from a root to a leaf; messages have both keys."""
-    nodes = messages.select(*KEY, "msg_id", "parent_id")
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Tables of jumps of 1, 2, 4, ... messages towards the root, and the messages that have no root (none if there are none)."""
     ids = nodes.select(*KEY, F.col("msg_id").alias("parent_id"))
     linked = nodes.join(ids.withColumn("_is", F.lit(True)), [*KEY, "parent_id"], "left").select(*KEY, "msg_id", F.when(F.col("_is"), F.col("parent_id")).alias("up"))
+    out, longest = [materialize(linked.where("up IS NOT NULL"))], None  # messages whose jump would pass the root leave
+    while not out[-1].isEmpty():
+        if longest is None:
+            longest = nodes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if 1 << (len(out) - 1) > longest:  # a jump longer than any path: what has one lies on a cycle or answers into one
+            return out, out[-1].select(*KEY, "msg_id")
+        jump = out[-1]
+        far = jump.join(jump.select(*KEY, F.col("msg_id").alias("up"), F.col("up").alias("_far")), [*KEY, "up"])
+        out.append(materialize(far.select(*KEY, "msg_id", F.col("_far").alias("up"))))
+    return out, None
+
+
+def root_to_leaf(messages: DataFrame) -> DataFrame:
+    """conv_id, _none, leaf_id, msg_id, depth (0 at the leaf): the rows of every path from a root to a leaf; messages have both keys and one row each."""
+    nodes = messages.select(*KEY, "msg_id", "parent_id")
+    jumps, rootless = _jumps(nodes)
+    if rootless is not None:
+        nodes = materialize(nodes.join(rootless, [*KEY, "msg_id"], "left_anti"))
+        for x in jumps:
+            discard(x)
+        jumps, _ = _jumps(nodes)
     leaves = nodes.join(nodes.select(*KEY, F.col("parent_id").alias("msg_id")).where("msg_id IS NOT NULL").distinct(), [*KEY, "msg_id"], "left_anti")
     paths = materialize(leaves.select(*KEY, F.col("msg_id").alias("leaf_id"), "msg_id", F.lit(0).cast("long").alias("depth")))
-    jump, step = materialize(linked.where("up IS NOT NULL")), 1  # messages whose jump would pass the root leave
-    while True:
-        hop = jump.select(*KEY, "msg_id", F.col("up").alias("_up"))
-        more = paths.join(hop, [*KEY, "msg_id"]).select(*KEY, "leaf_id", F.col("_up").alias("msg_id"), (F.col("depth") + step).alias("depth"))
+    for k, jump in enumerate(jumps[:-1]):
+        more = paths.join(jump.select(*KEY, "msg_id", F.col("up").alias("_up")), [*KEY, "msg_id"]).select(*KEY, "leaf_id", F.col("_up").alias("msg_id"), (F.col("depth") + (1 << k)).alias("depth"))
         following = materialize(paths.union(more))
-        if hop.isEmpty():
-            discard(paths)
-            return following
-        far = jump.join(jump.select(*KEY, F.col("msg_id").alias("up"), F.col("up").alias("_far")), [*KEY, "up"]).select(*KEY, "msg_id", F.col("_far").alias("up"))
-        after = materialize(far)
         discard(paths)
-        discard(jump)
-        paths, jump, step = following, after, 2 * step
-        if step > 1 << 40:
-            raise ValueError("messages answer each other in a circle")
+        paths = following
+    for x in jumps:
+        discard(x)
+    return paths
+
 
+def format_paths(messages: DataFrame, branches: int = 1, distinct: bool = False) -> DataFrame:
+    """conv_id, branch (rank from 1), n_turns, formatted, loss_spans of the best paths of each conversation.
 
-def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """conv_id, branch (rank from 1), n_turns, formatted, loss_spans of the best paths of each conversation."""
+    messages: conv_id, msg_id, parent_id, role, text, score. distinct: whether msg_id is known to be unique in each conversation.
+    """
     none = F.lit(0).cast(messages.schema["conv_id"].dataType)
+    messages = messages.select("conv_id", "msg_id", "parent_id", "role", "text", "score").where("msg_id IS NOT NULL")
     messages = messages.withColumn("_none", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", none))
+    if not distinct:
+        first = Window.partitionBy(*KEY, "msg_id").orderBy(*[F.col(c).asc_nulls_first() for c in ("parent_id", "role", "text", "score")])
+        messages = messages.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     paths = root_to_leaf(messages)
     body = messages.select(*KEY, "msg_id", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score"))
     full = paths.join(body, [*KEY, "msg_id"])

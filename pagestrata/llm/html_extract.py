@@ -335,7 +335,7 @@ def _attach(rows: DataFrame, small: DataFrame, column: str) -> tuple[DataFrame,
 def host_templates(pages: DataFrame, support: int = 2) -> DataFrame:
     """__host, __template (JSON of assemble()) of hosts with classes, from pages (__host, html)."""
     seen = pages.mapInArrow(_tokens, _PAGE).repartition(partitions(pages.sparkSession), "__host", "content")  # small, but costly to read: keep it in parts
-    contents = materialize(seen.dropDuplicates(["__host", "content"]))
+    contents = materialize(seen.dropDuplicates(["__host", "content"])).repartition(partitions(pages.sparkSession), "content")
     stats = contents.mapInArrow(_vectors, _STATS).groupBy("__host", "token").agg(*[F.sum(c).alias(c) for c in ("v1", "v2", "pages")]).where(F.col("pages") >= support)
     # what one content alone has left with the filter above; of the rest, tokens of half the host's contents are a few for each page
     many = contents.groupBy("__host").agg(F.count(F.lit(1)).alias("all"))

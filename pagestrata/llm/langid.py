@@ -5,8 +5,8 @@ whose filter contains it. For each language the n-grams of a text that it contai
 positives is taken off, and the language with the largest corrected share wins.
 
 An n-gram enters a language's filter if its rate there is at least `ratio` of its greatest rate in any language and it was seen at least
-twice. Filters are learned from a hash sample of about `max_rows` rows a language (the bound is a parameter); every whole text is then scored. Up to 64
-languages, in order of code point. Defined results: null text, or text without a letter, gives `und` with score 0; without learned
+twice. Filters are learned from a hash sample of about `max_rows` rows a language (the bound is a parameter); every whole text is then scored. Any number of
+languages, in order of code point: each cell has a mask of 64 languages for every 64 of them. Defined results: null doc_id is learned from like any other; null text, or text without a letter, gives `und` with score 0; without learned
 languages every text gives `und`; ties go to the smaller code.
 """
 
@@ -58,7 +58,7 @@ def cells(h: np.ndarray) -> list[np.ndarray]:
     return [((h >> U64(21 * k)) & U64(CELLS - 1)).astype(np.int64) for k in range(HASHES)]
 
 
-def _counts(n_langs: int):
+def _counts():
     schema = pa.schema([("lang", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
@@ -74,28 +74,27 @@ def _counts(n_langs: int):
     return run
 
 
-def _fill(n_langs: int):
+def _fill():
     """mapInArrow: masks of n-grams as cells of the filter."""
-    schema = pa.schema([("cell", pa.int32()), ("mask", pa.int64())])
+    schema = pa.schema([("cell", pa.int32()), ("word", pa.int32()), ("mask", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            h, mask = batch.column("h").to_numpy().view(np.uint64), batch.column("mask").to_numpy()
+            h, word, mask = batch.column("h").to_numpy().view(np.uint64), batch.column("word").to_numpy(), batch.column("mask").to_numpy()
             for c in cells(h):
-                yield table(schema, [c.astype(np.int32), mask])
+                yield table(schema, [c.astype(np.int32), word, mask])
 
     return run
 
 
 def _predict(shared, names: list[str]):
     def run(batches):
-        langs, cell, mask, rate = shared.value
+        langs, cell, word, mask, rate = shared.value
+        width = -(-len(langs) // 64)
         kind = np.uint8 if len(langs) <= 8 else np.uint16 if len(langs) <= 16 else np.uint64
-        filters = np.zeros(CELLS, kind)
-        filters[cell] = mask.astype(np.uint64).astype(kind)
-        patterns = None
-        if kind == np.uint8:
-            patterns = ((np.arange(256)[:, None] >> np.arange(len(langs))) & 1).astype(np.float64)
+        filters = np.zeros((max(width, 1), CELLS), kind)
+        filters[word, cell] = mask.view(np.uint64).astype(kind)
+        patterns = ((np.arange(256)[:, None] >> np.arange(len(langs))) & 1).astype(np.float64) if kind == np.uint8 else None
         for batch in batches:
             texts = batch.column("text")
             raw, offsets = text_buffer(texts)
@@ -103,15 +102,18 @@ def _predict(shared, names: list[str]):
             best, score = [], []
             for i, j in slices(offsets):
                 h, doc = ngrams(raw, offsets[i : j + 1])
-                found = np.full(len(h), -1 if kind != np.uint8 else 255).astype(kind)
-                for c in cells(h):
-                    found &= filters[c]
+                at = cells(h)
                 n = np.bincount(doc, minlength=j - i)
-                if patterns is not None:
-                    hist = np.bincount(doc * 256 + found, minlength=(j - i) * 256).reshape(j - i, 256)
-                    hits = hist @ patterns
-                else:
-                    hits = np.stack([np.bincount(doc, ((found >> np.uint64(k).astype(kind)) & kind(1)), minlength=j - i) for k in range(len(langs))], axis=1)
+                hits = np.zeros((j - i, len(langs)))
+                for w in range(width):
+                    found = filters[w][at[0]]
+                    for c in at[1:]:
+                        found &= filters[w][c]
+                    if patterns is not None:
+                        hits = np.bincount(doc * 256 + found, minlength=(j - i) * 256).reshape(j - i, 256) @ patterns
+                        continue
+                    for k in range(64 * w, min(64 * w + 64, len(langs))):
+                        hits[:, k] = np.bincount(doc, (found >> kind(k - 64 * w)) & kind(1), minlength=j - i)
                 share = np.clip((hits / np.maximum(n, 1)[:, None] - rate) / np.maximum(1 - rate, 1e-9), 0, 1)
                 top = share.argmax(axis=1) if len(langs) else np.zeros(j - i, np.int64)
                 for d in range(j - i):
@@ -132,22 +134,21 @@ def identify_languages(docs: DataFrame, max_rows: int = 1500, ratio: float = 0.3
     prepare(spark)
     base = without(docs, "held_out", "lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     known = base.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out("doc_id"))
-    sizes = sorted((r[0], r[1]) for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect())
+    sizes = sorted((r[0], r[1]) for r in known.groupBy("lang").count().collect())  # a row a language
     langs = [x for x, _ in sizes]
-    number = F.coalesce(*[F.when(F.col("lang") == x, F.lit(i)) for i, x in enumerate(langs)], F.lit(None).cast("int")) if langs else F.lit(None).cast("int")
-    bound = F.coalesce(*[F.when(F.col("lang") == x, F.lit(max(1, min(1_000_000, int(1_000_000 * max_rows / n))))) for x, n in sizes], F.lit(0)) if langs else F.lit(0)
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < bound).select(number.alias("lang"), "text").where("lang IS NOT NULL")
-    counted = materialize(sample.mapInArrow(_counts(len(langs)), "lang int, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")))
-    totals = {r[0]: r[1] for r in counted.groupBy("lang").agg(F.sum("n")).collect()}
-    share = F.col("n") / F.coalesce(*[F.when(F.col("lang") == i, F.lit(float(totals.get(i, 1)))) for i in range(len(langs))], F.lit(1.0))
-    rated = counted.where(F.col("n") >= least).withColumn("share", share)
+    numbers = spark.createDataFrame([(x, i, max(1, min(1_000_000, int(1_000_000 * max_rows / n)))) for i, (x, n) in enumerate(sizes)], "lang string, __number int, __bound int")
+    sample = known.select("doc_id", "lang", "text").join(numbers, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("__bound")).select(F.col("__number").alias("lang"), "text")
+    counted = materialize(sample.mapInArrow(_counts(), "lang int, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")))
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    rated = counted.where(F.col("n") >= least).join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))  # a row a language
     peak = rated.groupBy("h").agg(F.max("share").alias("peak"), F.collect_list(F.struct("lang", "share")).alias("in"))
-    bit = F.aggregate("in", F.lit(0).cast("long"), lambda a, x: F.when(x["share"] >= F.lit(ratio) * F.col("peak"), a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["lang"]))).otherwise(a))
-    masks = peak.select("h", bit.alias("mask"))
-    filled = masks.mapInArrow(_fill(len(langs)), "cell int, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most CELLS rows
-    cell, mask = filled.column("cell").to_numpy().astype(np.int32), filled.column("mask").to_numpy()
-    density = np.array([((mask >> i) & 1).sum() / CELLS for i in range(len(langs))])
-    shared = spark.sparkContext.broadcast((langs, cell, mask, density**HASHES))
+    inside = peak.select("h", F.explode(F.filter("in", lambda x: x["share"] >= F.lit(ratio) * F.col("peak"))["lang"]).alias("lang"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("lang") % 64)
+    masks = inside.groupBy("h", F.floor(F.col("lang") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask"))
+    filled = masks.mapInArrow(_fill(), "cell int, word int, mask long").groupBy("cell", "word").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most CELLS rows for 64 languages
+    cell, word, mask = filled.column("cell").to_numpy().astype(np.int32), filled.column("word").to_numpy().astype(np.int32), filled.column("mask").to_numpy()
+    density = np.array([((mask[word == i // 64] >> (i % 64)) & 1).sum() / CELLS for i in range(len(langs))])
+    shared = spark.sparkContext.broadcast((langs, cell, word, mask, density**HASHES))
     names = [c for c in base.columns if c != "text"]
     out = base.mapInArrow(_predict(shared, names), T.StructType([*[base.schema[c] for c in names], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     return out.withColumn("held_out", held_out("doc_id"))

@@ -2,13 +2,15 @@
 
 decode_dc parses markers, Huffman-decodes the scans and keeps the DC coefficient of each luminance block: a thumbnail of one eighth of the
 picture's size. All restart segments of all pictures of a batch advance together, one code at a time. Any baseline picture (grey or
-several components, sampling factors, with or without restart intervals) is read; progressive or arithmetic ones raise ValueError.
+several components in one scan or a scan each, sampling factors, with or without restart intervals) is read; luminance is the first component.
+Progressive or arithmetic pictures and broken ones raise ValueError.
 
 encode_flat writes bytes as flat 8 x 8 blocks of a grey baseline picture, quantised so that the DC coefficient is the byte
 less 128: reading the thumbnail back gives the bytes. A row of blocks is a restart segment. Payloads beyond one picture's
 height become several pictures, one after another.
 
-Defined results: null text is empty; an empty text is one block row set of padding; very long texts take wider or several pictures.
+Defined results: null text is empty; an empty text is one block row set of padding; very long texts take wider or several pictures; rows of one
+doc_id are stored one by one; an empty table gives no rows; of the input only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from .common import lean, materialize, prepare, table
 
 UNIT = 576
 MAX_ROWS = 8000
@@ -114,6 +116,8 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
             raise ValueError("no marker where one must stand")
         marker = data[at + 1]
         if marker == 0xD9:
+            if "scan" not in out:
+                raise ValueError("no scan of the first component")
             return out, at + 2
         n = int.from_bytes(data[at + 2 : at + 4], "big")
         body, at = data[at + 4 : at + 2 + n], at + 2 + n
@@ -124,6 +128,8 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
                 out["quant"][name] = int.from_bytes(body[k + 1 : k + 2 + wide], "big")  # of the DC coefficient
                 k += 1 + 64 * (1 + wide)
         elif marker == 0xC0:
+            if "components" in out:
+                raise ValueError("two frames in one picture")
             out |= {"height": int.from_bytes(body[1:3], "big"), "width": int.from_bytes(body[3:5], "big"), "components": [(body[k], body[k + 1] >> 4, body[k + 1] & 15, body[k + 2]) for k in range(6, 6 + 3 * body[5], 3)]}
         elif 0xC1 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
             raise ValueError("not a baseline picture")
@@ -137,7 +143,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
         elif marker == 0xDD:
             out["restart"] = int.from_bytes(body[:2], "big")
         elif marker == 0xDA:
-            out["scan"] = [(body[1 + 2 * k], body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
+            scan = [(body[1 + 2 * k], body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
             stop = at
             while True:
                 stop = data.find(b"\xff", stop)
@@ -152,7 +158,11 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
                         raise ValueError("the scan does not end")
                     stop = nxt + int(hits[0])
                 break
-            out["data"], at = data[at:stop], stop
+            if "components" not in out:
+                raise ValueError("a scan before its frame")
+            if "scan" not in out and out["components"][0][0] in [c for c, _, _ in scan]:  # the one that holds luminance, with the tables known by now
+                out |= {"scan": [(c, out["dc"].get(d), out["ac"].get(a)) for c, d, a in scan], "each": out["restart"], "data": data[at:stop]}
+            at = stop
 
 
 _tables: dict = {}
@@ -175,27 +185,31 @@ def decode_dc(pictures: list[bytes]) -> list[list[np.ndarray]]:
     out: list[list[np.ndarray]] = [[] for _ in pictures]
     groups: dict = {}
     for k, (_, f) in enumerate(frames):
-        used = [(c, next(x for x in f["components"] if x[0] == c), f["dc"][d], f["ac"][a]) for c, d, a in f["scan"]]
-        groups.setdefault(tuple((x[1:], d, a) for _, (x), d, a in used), []).append(k)
+        sides = (max(x[1] for x in f["components"]), max(x[2] for x in f["components"]))
+        used = [(next(x for x in f["components"] if x[0] == c), d, a) for c, d, a in f["scan"]]
+        if any(d is None or a is None for _, d, a in used):
+            raise ValueError("a scan without its tables")
+        luma = [u[0] for u in used].index(f["components"][0])
+        groups.setdefault((sides, luma, tuple((x[1:], d, a) for x, d, a in used)), []).append(k)
     made: dict[int, np.ndarray] = {}
-    for layout, members in groups.items():
-        made |= _decode_group([frames[k][1] for k in members], members, layout)
+    for (sides, luma, layout), members in groups.items():
+        made |= _decode_group([frames[k][1] for k in members], members, layout, luma, *sides)
     for k, (which, _) in enumerate(frames):
         out[which].append(made[k])
     return out
 
 
-def _decode_group(frames: list[dict], names: list[int], layout) -> dict[int, np.ndarray]:
-    """Pictures with the same components and tables, all restart segments together."""
+def _decode_group(frames: list[dict], names: list[int], layout, first_of: int, hmax: int, vmax: int) -> dict[int, np.ndarray]:
+    """Pictures with the same components and tables, all restart segments together. first_of: the scan's place of luminance."""
     single = len(layout) == 1
     blocks = []  # component of each block of a unit, and its place there
     for c, ((h, v, _), _, _) in enumerate(layout):
         blocks += [(c, 0, 0)] if single else [(c, y, x) for y in range(v) for x in range(h)]
-    hmax, vmax = max(x[0][0] for x in layout), max(x[0][1] for x in layout)
+    (h0, v0, q0), _, _ = layout[first_of]
     pieces, todo, owner, first = [], [], [], []
     for k, f in enumerate(frames):
-        step = (8, 8) if single else (8 * hmax, 8 * vmax)
-        f["units"] = (-(-f["height"] // step[1]), -(-f["width"] // step[0]))
+        f["size"] = (-(-f["height"] * v0 // vmax), -(-f["width"] * h0 // hmax))  # samples of the component
+        f["units"] = (-(-f["size"][0] // 8), -(-f["size"][1] // 8)) if single else (-(-f["height"] // (8 * vmax)), -(-f["width"] // (8 * hmax)))
         n = f["units"][0] * f["units"][1]
         raw = np.frombuffer(f["data"], np.uint8)
         ff = np.flatnonzero(raw[:-1] == 0xFF)
@@ -206,7 +220,7 @@ def _decode_group(frames: list[dict], names: list[int], layout) -> dict[int, np.
         kept = np.cumsum(~drop) - ~drop
         starts = np.r_[0, kept[np.minimum(marks + 2, len(raw) - 1)]]
         pieces.append((raw[~drop], starts))
-        each = f["restart"] or n
+        each = f["each"] or n
         todo.append(np.minimum(each, n - each * np.arange(len(starts))))
         first.append(each * np.arange(len(starts)))
         owner.append(np.full(len(starts), k))
@@ -219,7 +233,7 @@ def _decode_group(frames: list[dict], names: list[int], layout) -> dict[int, np.
     bit = 8 * np.concatenate([b + s for b, (_, s) in zip(base, pieces, strict=False)]).astype(np.int64)
     todo, owner, first = np.concatenate(todo), np.concatenate(owner), np.concatenate(first)
     room = np.cumsum([0, *[f["units"][0] * f["units"][1] for f in frames]])
-    per_luma = sum(c == 0 for c, _, _ in blocks)
+    per_luma = sum(c == first_of for c, _, _ in blocks)
     luma = np.zeros((int(room[-1]), per_luma), np.int32)
     previous = np.zeros((len(layout), len(bit)), np.int32)
     peek = lambda b: ((words[b >> 3] >> (16 - (b & 7)).astype(np.uint32)) & np.uint32(0xFFFF)).astype(np.int64)
@@ -239,8 +253,8 @@ def _decode_group(frames: list[dict], names: list[int], layout) -> dict[int, np.
             value = np.where((n > 0) & (value < (1 << np.maximum(n - 1, 0))), value - (1 << n) + 1, value)
             previous[c, active] += value
             b = b + n
-            if c == 0:
-                luma[room[owner[active]] + first[active] + unit, luma_at] = previous[0, active]
+            if c == first_of:
+                luma[room[owner[active]] + first[active] + unit, luma_at] = previous[c, active]
                 luma_at += 1
             symbol, size = _known(ac)
             k, open_ = np.ones(len(active), np.int64), np.arange(len(active))
@@ -257,11 +271,10 @@ def _decode_group(frames: list[dict], names: list[int], layout) -> dict[int, np.
         active = active[todo[active] > unit]
     out = {}
     for k, f in enumerate(frames):
-        (h, v, q), _, _ = layout[0]
         rows, cols = f["units"]
-        values = luma[room[k] : room[k + 1]].reshape(rows, cols, v if not single else 1, h if not single else 1).transpose(0, 2, 1, 3)
-        values = values.reshape(values.shape[0] * values.shape[1], -1) * f["quant"][q]
-        tall, broad = -(-f["height"] * (1 if single else v) // (8 * (1 if single else vmax))), -(-f["width"] * (1 if single else h) // (8 * (1 if single else hmax)))
+        values = luma[room[k] : room[k + 1]].reshape(rows, cols, v0 if not single else 1, h0 if not single else 1).transpose(0, 2, 1, 3)
+        values = values.reshape(values.shape[0] * values.shape[1], -1) * f["quant"][q0]
+        tall, broad = (-(-x // 8) for x in f["size"])
         out[names[k]] = np.clip((values[:tall, :broad] + 4) // 8 + 128, 0, 255).astype(np.uint8)
     return out
 
@@ -277,32 +290,46 @@ def thumbnail_hash(thumb: np.ndarray) -> str:
     return np.packbits(cells[:, :-1] < cells[:, 1:]).tobytes().hex()
 
 
+_STORED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 _ROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+_NAMES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _store(keep: bool):
+def _store(batches):
+    for batch in batches:
+        ids, texts = batch.column("doc_id"), batch.column("text")
+        for at in range(0, len(ids), 250):
+            raw = [(texts[i].as_py() or "").encode() for i in range(at, min(at + 250, len(ids)))]
+            yield table(_STORED, [ids.slice(at, len(raw)), [len(x) for x in raw], [encode_flat(x + b"\xff" * (-len(x) % UNIT if x else UNIT)) for x in raw]])
+
+
+def _read(keep: bool):
     schema = _ROW.append(pa.field("media", pa.binary())) if keep else _ROW
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, len(ids), 250):
-                raw = [(texts[i].as_py() or "").encode() for i in range(at, min(at + 250, len(ids)))]
-                media = [encode_flat(x + b"\xff" * (-len(x) % UNIT if x else UNIT)) for x in raw]
+            for at in range(0, len(batch), 250):
+                part = batch.slice(at, 250)
+                media = part.column("media").to_pylist()
                 cols = [[] for _ in schema]
-                for x, m, thumbs in zip(raw, media, decode_dc(media), strict=True):
+                for m, thumbs in zip(media, decode_dc(media), strict=True):
                     back = b"".join(t.tobytes() for t in thumbs)
                     feature = f"{8 * thumbs[0].shape[1]}x{8 * sum(t.shape[0] for t in thumbs)}:{thumbnail_hash(np.concatenate(thumbs))}"
-                    row = (len(x), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature, m)
-                    for c, v in zip(cols[1:], row, strict=False):
+                    row = (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature, m)
+                    for c, v in zip(cols[2:], row, strict=False):
                         c.append(v)
-                yield table(schema, [ids.slice(at, len(raw)), *cols[1:]])
+                yield table(schema, [part.column("doc_id"), part.column("n_bytes"), *cols[2:]])
 
-    return run
+    return lean(run)
 
 
-def media_columns(docs: DataFrame, keep: bool = True) -> DataFrame:
-    """One row a document: sizes and digests of its payload as read back from the stored picture, the picture itself if keep, and its feature."""
+def store_media(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, media (the picture of the text's bytes) of each document, as a stored table."""
     prepare(docs.sparkSession)
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + (", media binary" if keep else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_store(keep), schema)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return materialize(texts.mapInArrow(lean(_store), "doc_id long, n_bytes long, media binary"))
+
+
+def media_columns(docs: DataFrame, keep: bool = True) -> DataFrame:
+    """One row a document: sizes and digests of its payload as read back from the stored media column, the picture itself if keep, and its feature."""
+    return store_media(docs).mapInArrow(_read(keep), _NAMES + (", media binary" if keep else ""))

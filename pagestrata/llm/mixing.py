@@ -3,11 +3,17 @@
 Documents are counted by source and size (number of words). Among all document rates between 0 and `most`, those of least relative
 entropy to one copy each that meet a source's word target are exponentially tilted by size: rate = min(most, exp(lambda x
 size / mean size)). The dual in lambda is convex and one-dimensional for each source; Newton steps, kept inside a
-shrinking bracket, solve all sources at once as joins and aggregations over the counts. Rates become whole copies by cumulative rounding
-from the longest documents on, and single documents are then moved by one copy while that brings a source closer to its target.
+shrinking bracket, solve all sources at once as joins and aggregations over the counts, until every source meets its target to within a quarter of
+a word, or its bracket is as narrow as doubles are. Rates become whole copies by cumulative rounding
+from the longest documents on, and copies of one size are then moved, again and again, as long as that brings a source closer to its target.
+source_taken says what each source got.
+
+Tables of sources (targets, rates) have a row a source, and the ranking of sources needs them in one task: a list of sources, not of documents. The table of
+counts by source and size is joined by its size as Spark finds it: broadcast below spark.sql.autoBroadcastJoinThreshold, shuffled above.
 
 Defined results: null text has size 0; size 0 takes nothing; a null source is a source of its own, last in order; rows of one doc_id count
-each; an empty table gives no rows. Ties of size are broken by a hash of doc_id and text, so reruns agree.
+each; an empty table gives no rows; input columns named size, source_size, target, copies, taken or source_taken are replaced, all
+others are kept. Ties of size are broken by a hash of doc_id and text, so reruns agree.
 """
 
 from __future__ import annotations
@@ -43,10 +49,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0
     return leveled.select("source", "source_size", F.least(F.col("_cap"), F.coalesce(F.col("_w") * F.col("_level")["_rate"], F.col("_cap"))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: int = 2, steps: int = 40, repairs: int = 6) -> DataFrame:
-    """docs (doc_id, text, source, any more columns) with size, source_size, target, copies and taken = copies x size."""
-    base = without(docs, "size", "source_size", "target", "copies", "taken").withColumn("size", word_count(F.col("text").cast("string")))
-    key = F.xxhash64("doc_id", "text")
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: int = 2) -> DataFrame:
+    """docs (doc_id, text, source, any more columns) with size, source_size, target, copies, taken = copies x size, and source_taken."""
+    given = without(docs, "size", "source_size", "target", "copies", "taken", "source_taken")
+    # the columns given travel as one, so that no name of theirs meets one of the steps below
+    base = given.select(F.struct(*[F.col(f"`{c}`") for c in given.columns]).alias("row"), "source", F.xxhash64("doc_id", "text").alias("key"), word_count(F.col("text").cast("string")).alias("size"))
     cells = materialize(base.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     sums = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("docs"))
     goals = materialize(source_targets(sums.select("source", "source_size"), weights, share, most).join(sums.select(F.col("source").alias("_s"), "docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
@@ -56,9 +63,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     state = goals.where("source_size > 0").select(F.col("source").alias("_s"), "source_size", "docs", "target", F.when(full, 1e6).otherwise(0.0).alias("lam"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), full.alias("met"))
     state = materialize(state)
     sized = cells.where("size > 0")
-    for _ in range(steps):
-        if state.where("NOT met").isEmpty():
-            break
+    while not state.where("NOT met").isEmpty():
         rated = sized.join(state.where("NOT met"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("rate", tilt)
         moments = rated.groupBy(F.col("_s").alias("_k")).agg(F.sum(F.col("n") * F.col("size") * F.col("rate")).alias("got"), F.sum(F.when(F.col("rate") < most, F.col("n") * F.col("size") * x * F.col("rate")).otherwise(0.0)).alias("slope"))
         now = state.join(moments, F.col("_s").eqNullSafe(F.col("_k")), "left").drop("_k").withColumn("gap", F.col("target") - F.col("got"))
@@ -76,21 +81,25 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     running = F.sum(F.col("n") * F.col("rate")).over(Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     counted = rated.withColumn("_c", running).withColumn("k", F.greatest(F.lit(0), F.least(F.col("n") * most, F.round("_c") - F.round(F.col("_c") - F.col("n") * F.col("rate")))).cast("long"))
     held = materialize(counted.select("source", "size", "n", "k", "target"))
-    for _ in range(repairs):
+    while True:
         off = held.groupBy(F.col("source").alias("_s")).agg((F.first("target") - F.sum(F.col("k") * F.col("size"))).alias("gap"))
         room = held.join(off, F.col("source").eqNullSafe(F.col("_s")))
         step = F.when(F.col("gap") > 0, F.when(F.col("k") < F.col("n") * most, 1)).otherwise(F.when(F.col("k") > 0, -1))
         times = F.greatest(F.lit(1), F.least(F.floor(F.abs("gap") / F.col("size")), F.when(F.col("gap") > 0, F.col("n") * most - F.col("k")).otherwise(F.col("k")))).cast("long")
         room = room.withColumn("step", step * times).withColumn("left", F.abs(F.col("gap") - F.col("step") * F.col("size"))).where("step IS NOT NULL AND left < abs(gap)")
-        best = room.groupBy(F.col("source").alias("_s")).agg(F.min_by(F.struct("size", "step"), F.struct("left", "size")).alias("b")).select("_s", F.col("b.size").alias("_z"), F.col("b.step").alias("step"))
+        best = materialize(room.groupBy(F.col("source").alias("_s")).agg(F.min_by(F.struct("size", "step"), F.struct("left", "size")).alias("b")).select("_s", F.col("b.size").alias("_z"), F.col("b.step").alias("step")))
+        if best.isEmpty():  # gaps shrink with every round, so this comes
+            discard(best)
+            break
         moved = held.join(best, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left").select("source", "size", "n", (F.col("k") + F.coalesce("step", F.lit(0))).alias("k"), "target")
         following = materialize(moved)
         discard(held)
+        discard(best)
         held = following
     # whole copies for all of a cell, one more for as many of its documents as are left over; large cells are dealt with in groups
     cut = held.select("source", "size", "n", F.floor(F.col("k") / F.col("n")).alias("each"), F.pmod("k", "n").alias("extra"))
     groups = max(1, -(-(cells.agg(F.max("n")).first()[0] or 1) // GROUP_ROWS))
-    keyed = base.withColumn("_key", key).withColumn("_group", F.pmod("_key", F.lit(groups)))
+    keyed = base.withColumn("_group", F.pmod("key", F.lit(groups)))
     parts = keyed.groupBy("source", "size", "_group").agg(F.count(F.lit(1)).alias("m")) if groups > 1 else cells.select("source", "size", F.lit(0).cast("long").alias("_group"), F.col("n").alias("m"))
     upto = F.sum("m").over(Window.partitionBy("source", "size").orderBy("_group").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     share_of = lambda c: F.floor(F.col("extra") * c / F.col("n"))
@@ -98,7 +107,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     parts = parts.withColumn("_upto", upto)
     quota = parts.join(cut, same(parts, cut)).select(parts["source"].alias("_s"), parts["size"].alias("_z"), F.col("_group").alias("_g"), "each", (share_of(F.col("_upto")) - share_of(F.col("_upto") - F.col("m"))).alias("_quota"))
     dealt = keyed.join(quota, keyed["source"].eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("_group") == F.col("_g")), "left")
-    rank = F.row_number().over(Window.partitionBy("source", "size", "_group").orderBy("_key"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "_group").orderBy("key"))
     copied = dealt.withColumn("copies", (F.coalesce("each", F.lit(0)) + F.when(rank <= F.col("_quota"), 1).otherwise(0)).cast("long"))
-    goal = goals.select(F.col("source").alias("_t"), F.col("source_size"), "target")
-    return copied.join(goal, F.col("source").eqNullSafe(F.col("_t"))).select(*[f"`{c}`" for c in base.columns], "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    got = held.groupBy(F.col("source").alias("_u")).agg(F.sum(F.col("k") * F.col("size")).alias("source_taken"))
+    goal = goals.join(got, F.col("source").eqNullSafe(F.col("_u")), "left").select(F.col("source").alias("_t"), "source_size", "target", F.coalesce("source_taken", F.lit(0)).alias("source_taken"))
+    return copied.join(goal, F.col("source").eqNullSafe(F.col("_t"))).select("row.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source_taken")

@@ -6,7 +6,8 @@ s says that sum s can be made); the combination is repeated as long as its count
 patterns, a few for each length, so the driver's work does not grow with the input. Pieces are then numbered within their length,
 in salted groups of bounded size, and the pattern that owns the number gives sequence and offset.
 
-Defined results: null text is empty, and still has the end token; rows of one doc_id are packed one by one; an empty table packs to
+Defined results: ids are those that the tokenizer's plain call gives, so a string such as <|endoftext|> inside a text is its one id; null text is
+empty, and still has the end token; rows of one doc_id are packed one by one; an empty table packs to
 no rows. Only documents longer than the capacity are cut; of these the first piece may be shorter, the others are full.
 """
 
@@ -25,18 +26,19 @@ END = 2
 _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 GROUP_ROWS = 20_000
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS, MEMO_BYTES = 700_000, 48 << 20
 _loaded: dict = {}
 
 
 class _Chunks:
-    """A tokenizer with a memo of the ids of text chunks, emptied beyond MEMO_CHUNKS; both are kept for one task."""
+    """A tokenizer with a memo of the ids of text chunks, emptied beyond MEMO_CHUNKS chunks or MEMO_BYTES of them; both are kept for one task."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # strings that stand for one id wherever a text holds them; texts are cut around them
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level vocabulary writes each byte as one character
         for token, number in vocabulary.items():
@@ -47,7 +49,7 @@ class _Chunks:
         """Chunk -> number; number -> start and length in ids, which may have spare room. Number 0 is the end of a document."""
         self.number: dict[str, int] = {}
         self.start, self.length, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4")
-        self.n_chunks, self.n_ids = 0, 0
+        self.n_chunks, self.n_ids, self.n_bytes = 0, 0, 0
         self._append([], np.array([END], "<u4"), np.array([1]))
 
     def _append(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -60,6 +62,7 @@ class _Chunks:
         self.start[self.n_chunks : self.n_chunks + n] = self.n_ids + np.cumsum(lengths) - lengths
         self.ids[self.n_ids : self.n_ids + m] = ids
         self.number.update(zip(chunks, range(self.n_chunks, self.n_chunks + n), strict=False))
+        self.n_bytes += sum(map(len, chunks)) + 4 * m
         self.n_chunks, self.n_ids = self.n_chunks + n, self.n_ids + m
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:
@@ -68,7 +71,7 @@ class _Chunks:
     def _learn(self, chunks: list[str]) -> None:
         spaced, plain, odd = [], [], []
         for x in chunks:
-            if x[-1].isspace():
+            if x[-1].isspace() or x in self.added:
                 odd.append(x)
             elif not x[0].isspace():
                 plain.append(x)
@@ -94,7 +97,7 @@ class _Chunks:
             self._append(part, np.array([y for x in got for y in x], "<u4"), np.array([len(x) for x in got], np.int64))
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
-        if self.n_chunks > MEMO_CHUNKS:
+        if self.n_chunks > MEMO_CHUNKS or self.n_bytes > MEMO_BYTES:
             self.clear()
         missing = [x for x in chunks if x not in self.number]
         if missing:
@@ -102,12 +105,32 @@ class _Chunks:
         return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
 
 
-def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bytes where a chunk begins: each text that is not empty, what follows an ASCII letter and is ASCII but no letter, and each
-    single space or line end, with what follows the latter, between two characters that are no white space.
-
-    The pre-tokenizer always cuts there, so chunks can be encoded alone.
+def _added(raw: np.ndarray, offsets: np.ndarray, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the added tokens inside texts, from the left, none overlapping another."""
+    found, whole = [], None
+    for x in strings:
+        x = x.encode()
+        if whole is None:
+            whole = raw.tobytes()
+        at = whole.find(x)
+        while at >= 0:
+            if np.searchsorted(offsets, at, side="right") == np.searchsorted(offsets, at + len(x), side="left"):
+                found.append((at, -len(x)))
+            at = whole.find(x, at + 1)
+    kept, last = [], 0
+    for at, size in sorted(found):
+        if at >= last:
+            kept.append((at, last := at - size))
+    return (np.array([a for a, _ in kept], np.int64), np.array([b for _, b in kept], np.int64))
+
+
+def _chunk_starts(raw: np.ndarray, offsets: np.ndarray, added: list[str] = ()) -> np.ndarray:
+    """Bytes where a chunk begins: each text that is not empty, each added token and what follows it, what follows an ASCII letter and is ASCII but
+    no letter, and each single space or line end, with what follows the latter, between two characters that are no white space.
+
+    The tokenizer always cuts there, so chunks can be encoded alone.
     """
+    begins, ends = _added(raw, offsets, added)
     padded = np.concatenate([np.full(3, 32, np.uint8), raw, np.full(3, 32, np.uint8)])
     spaces = np.flatnonzero((raw == 32) | (raw == 10))
     near = {k: padded[spaces + 3 + k] for k in (-3, -2, -1, 1, 2, 3)}
@@ -122,11 +145,13 @@ def _chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     odd = white(near[-3], near[-2], near[-1], near[-1]) | white(near[1], near[2], near[3], near[1]) | two
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
+    edge[begins], edge[ends] = True, True
     safe = spaces[~odd & ~edge[spaces] & ~edge[spaces + 1]]
     edge[safe] = True
     edge[safe[raw[safe] == 10] + 1] = True
     letter = (raw | 32) - np.uint8(97) < 26
     edge[1:-1] |= letter[:-1] & ~letter[1:] & (raw[1:] < 128)
+    edge[ragged(begins + 1, ends - begins - 1)] = False  # an added token is one chunk
     return np.flatnonzero(edge[:-1])
 
 
@@ -140,7 +165,7 @@ def _encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by END, and the len + 1 offsets of each text's ids."""
     memo = _chunks(path)
     raw, offsets = text_buffer(texts)
-    starts = _chunk_starts(raw, offsets)
+    starts = _chunk_starts(raw, offsets, memo.added)
     cuts = np.append(starts, len(raw)).astype(np.int64)
     chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts), pa.py_buffer(raw)).dictionary_encode()
     numbers = memo.numbers(chunks.dictionary.to_pylist())[chunks.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.int64)

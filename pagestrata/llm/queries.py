@@ -43,7 +43,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), weights=(3.0, 1.0, 2.0), share=1.5, most=2)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source_taken")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "<|im_end|><|im_start|>assistant ok"
     turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
-    return digests(format_paths(threads(turns.union(extra)), branches=1))
+    return digests(format_paths(threads(turns.union(extra)), branches=1, distinct=True))
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,32 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_exact_top_k, op3_ngram_jaccard_join, op4_media_columns, op5_chat_formatting, op6_best_fit_packing, op7_source_mixing, op8_html_extraction, op9_quality_classifier, op10_language_id)}
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+p AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT win, min(doc_id) AS owner FROM p GROUP BY win),
+g AS (SELECT DISTINCT doc_id, i + j AS i FROM p JOIN f USING (win), range(13) r(j) WHERE owner < doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM t ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)""",
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, least(len(ws), 1) + 1))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS class FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b, na.class AS ca, nb.class AS cb FROM b JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 90 * (na.n + nb.n - common)),
+e AS (SELECT a, b, ca, cb FROM l UNION ALL SELECT b, a, cb, ca FROM l),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id),
+d AS (SELECT a AS doc_id, count(DISTINCT cb) AS n_links FROM e WHERE ca <> cb GROUP BY a)
+SELECT c.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links FROM c LEFT JOIN n USING (doc_id) LEFT JOIN d USING (doc_id)""",
+    "op5_chat_formatting": r"""
+WITH t AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS told, coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS loss,
+  sum(length('<|im_start|>' || url_encode(role) || chr(10) || replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|') || '<|im_end|>' || chr(10))) AS formatted FROM o GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(told) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted AS BIGINT) AS formatted_chars FROM g""",
     "op2_exact_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS z FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

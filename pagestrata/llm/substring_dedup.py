@@ -65,6 +65,18 @@ def _owners(doc, key) -> np.ndarray:
     return out
 
 
+def _packed(at: np.ndarray, groups: np.ndarray, n_groups: int) -> list[bytes]:
+    """Places of each group as differences, byte planes apart: neighbours differ little, so that all but the first plane compress to nothing."""
+    cut = np.searchsorted(groups, np.arange(n_groups + 1)).tolist()
+    at = at.astype(np.int32)
+    return [np.diff(at[a:b], prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def _places(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).reshape(-1), dtype=np.int32)
+
+
 def _answers(owner: np.ndarray, at: np.ndarray, n_parts: int) -> tuple:
     """Places found, one row for each part of the documents."""
     part = (mix(owner["doc"].astype(np.uint64)) % U64(n_parts)).astype(np.int64)
@@ -73,7 +85,7 @@ def _answers(owner: np.ndarray, at: np.ndarray, n_parts: int) -> tuple:
     used = np.unique(part)
     dense, n = np.searchsorted(used, part), len(used)
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    return used.astype(np.int32), blobs(owner[first], dense[first], n), blobs(np.diff(np.r_[first, len(owner)]).astype(np.uint32), dense[first], n), blobs(at.astype(np.int32), dense, n)
+    return used.astype(np.int32), blobs(owner[first], dense[first], n), blobs(np.diff(np.r_[first, len(owner)]).astype(np.uint32), dense[first], n), _packed(at, dense, n)
 
 
 def _send(h, g, doc, key, at, n_parts, any_other: bool):
@@ -111,7 +123,7 @@ def _send(h, g, doc, key, at, n_parts, any_other: bool):
             owner = _owners(doc[pick], key[pick])
             first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (dense[1:] != dense[:-1])][: len(pick)])
             owners, counts = blobs(owner[first], dense[first], n), blobs(np.diff(np.r_[first, len(pick)]).astype(np.uint32), dense[first], n)
-            ats = blobs(at[pick].astype(np.int32), dense, n)
+            ats = _packed(at[pick], dense, n)
         rows.append(table(_ENTRY_ARROW, [used.astype(np.int32), blobs(hs, dense, n), gs, owners, counts, ats, np.full(n, flag)]))
     answered = np.flatnonzero(known)
     if len(answered):
@@ -165,14 +177,14 @@ def _meet(final: bool, n_parts: int):
         for batch in batches:
             for h, g, owner, count, at, flag in zip(*[batch.column(c).to_pylist() for c in ("h", "g", "owner", "n", "at", "told")], strict=True):
                 if flag and not h:
-                    settled.append((np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)), np.frombuffer(at, np.int32)))
+                    settled.append((np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)), _places(at)))
                     continue
                 hs.append(np.frombuffer(h, np.uint64 if final else np.uint32))
                 n = len(hs[-1])
                 gs.append(np.frombuffer(g, np.uint64) if final else np.zeros(n, np.uint64))
                 if owner:
                     owners.append(np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(count, np.uint32)))
-                    ats.append(np.frombuffer(at, np.int32))
+                    ats.append(_places(at))
                 else:
                     owners.append(np.zeros(n, _OWNER))
                     ats.append(np.full(n, -1, np.int32))
@@ -208,7 +220,7 @@ def _gather(batches):
     for batch in batches:
         for owner, n, at in zip(*[batch.column(c).to_pylist() for c in ("owner", "n", "at")], strict=True):
             owners.append(np.repeat(np.frombuffer(owner, _OWNER), np.frombuffer(n, np.uint32)))
-            ats.append(np.frombuffer(at, np.int32))
+            ats.append(_places(at))
     if not owners:
         return
     owner, at = np.concatenate(owners), np.concatenate(ats)

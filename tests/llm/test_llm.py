@@ -69,6 +69,52 @@ def test_levels_at_most_double():
         assert steps[-1] == n and all(b <= 2 * a for a, b in zip(steps, steps[1:], strict=False))
 
 
+def alike():
+    """Two different words of 1,024 characters that collide under every polynomial hash modulo 2^64 with an odd base."""
+    x, y = "a", "b"
+    for _ in range(10):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_of_one_polynomial_hash_stay_apart(spark):
+    x, y = alike()
+    docs = spark.createDataFrame([(1, " ".join([x] * 13)), (2, " ".join([y] * 13)), (3, f"{x} {y} {x}"), (4, f"{y} {x} {x}")], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup(docs, 13, digest=True).collect()] == [0] * 4
+    assert {r.doc_id: r.component_id for r in ngram_classes(docs, 3, 90).collect()} == {i: i for i in (1, 2, 3, 4)}
+
+
+def test_user_columns_stay(docs):
+    own = docs.selectExpr("doc_id", "text", "'k' AS key", "'p' AS places", "'s' AS kept_sha256", "1 AS n_removed")
+    got = substring_dedup(own, 13)
+    assert got.columns == ["doc_id", "text", "key", "places", "kept_sha256", "n_words", "n_removed"] and {tuple(r) for r in got.select("key", "places", "kept_sha256").collect()} == {("k", "p", "s")}
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 3])
+def test_large_buckets_are_dealt_over_blocks(spark, monkeypatch, hot):
+    """Groups of near copies that share their rare shingles, and unlike texts that share one shingle, in buckets of at most three entries a block."""
+    monkeypatch.setattr(ngram_join, "HOT_ENTRIES", hot)
+    monkeypatch.setattr(ngram_join, "CHUNK_PAIRS", 5)
+    rng = np.random.default_rng(11)
+    base = [f"v{i}" for i in range(60)]
+    texts = []
+    for i in range(30):
+        t = list(base)
+        for j in rng.integers(0, 60, rng.integers(0, 4)):
+            t[j] = f"x{rng.integers(0, 90)}"
+        texts.append(" ".join(t))
+    texts += [f"same first words {' '.join(f'u{i}_{j}' for j in range(3))}" for i in range(12)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 80).collect()}
+    assert got == expected_classes(rows, 3, 80)
+
+
+def test_eight_documents_all_linked_have_seven_links_each(spark):
+    base = [f"v{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"n{i}", *base[i + 1 :]])) for i in range(8)]
+    assert [r.n_links for r in ngram_classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()] == [7] * 8
+
+
 def expected_classes(rows, k, percent):
     sets = {}
     for d, t in rows:
@@ -102,6 +148,7 @@ def test_ngram_classes(spark, docs):
                 t[j] = words[rng.integers(0, 60)]
             texts.append(" ".join(t))
     rows = [(i, t) for i, t in enumerate([*TEXTS, *texts])]
+    assert [r.component_id for r in ngram_classes(spark.createDataFrame([(None, "a b c d"), (None, "a b c d")], "doc_id long, text string"), 3, 90).collect()] == [None, None]
     made = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     for k, percent in ((3, 90), (5, 80)):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_classes(made, k, percent).collect()}
@@ -205,7 +252,6 @@ def test_packing(docs):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(tokenizer_path())
-    encoder.encode_special_tokens = True
     got = packing.pack_documents(docs, tokenizer_path()).collect()
     want = defaultdict(int)
     for r in docs.collect():
@@ -310,10 +356,201 @@ def test_chunks_encode_like_whole_texts():
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(tokenizer_path())
-    encoder.encode_special_tokens = True
     rng = random.Random(1)
     bits = [" ", " ", "  ", "\n", "\r\n", "\t", " ", "　", " ", "\u0085", "\x1c", "a", "Bc", "it's", "'", "'street", "é", "—", "“", "12", "!", ".", "<|endoftext|>", "漢", "🙂", "|", "_"]
     texts = [None, "", " ", "\n", "a ", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(20_000))]
     ids, at = packing._encode(pa.array(texts, pa.string()), tokenizer_path())
     for text, low, high in zip(texts, at[:-1], at[1:], strict=True):
         assert ids[low:high].tolist() == [*encoder.encode(text or "", add_special_tokens=False).ids, 2], repr(text)
+
+
+def test_special_strings_are_one_id(spark):
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(tokenizer_path())
+    assert 50256 in encoder.encode("a<|endoftext|>b", add_special_tokens=False).ids
+    texts = ["<|endoftext|>", " <|endoftext|> ", "<|endoftext|><|endoftext|>x", "a\n<|endoftext|>\n<|endof", "text|> y <|endoftext|", ">"]
+    ids, at = packing._encode(pa.array(texts), tokenizer_path())
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [[*encoder.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_fullest_is_the_best_of_all_combinations():
+    import itertools
+
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        lengths = rng.integers(1, 40, rng.integers(0, 9)).tolist()
+        counts = {x: lengths.count(x) for x in lengths}
+        limit = int(rng.integers(1, 90))
+        got = packing.fullest(limit, counts)
+        best = max((s for n in range(len(lengths) + 1) for c in itertools.combinations(lengths, n) if (s := sum(c)) <= limit), default=0)
+        assert sum(got) == best and all(got.count(x) <= counts[x] for x in got)
+
+
+def test_memo_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_BYTES", 2000)
+    memo = packing._Chunks(tokenizer_path())
+    for i in range(20):
+        memo.numbers([f" {'x' * 300}{i}"])
+    assert memo.n_bytes < 5000
+
+
+def baseline(values, hv=((1, 1),), split=False):
+    """A JPEG of flat blocks: values[c] is the plane of component c in blocks; split gives each component its own scan."""
+    parts = []
+    for plane in values:
+        one = media._picture(plane.reshape(-1), plane.shape[1])
+        start = one.index(b"\xff\xda")
+        parts.append((one[:start], one[start + 10 : -2]))
+    rows, cols = values[0].shape
+    h0, v0 = hv[0]
+    size = (8 * rows).to_bytes(2, "big") + (8 * cols).to_bytes(2, "big")
+    n = len(values)
+    frame = media._segment(0xC0, b"\x08" + size + bytes([n]) + b"".join(bytes((c + 1, hv[c][0] * 16 + hv[c][1], 0)) for c in range(n)))
+    tables = media._segment(0xDB, b"\0" + bytes([8] * 64)) + media._segment(0xC4, b"\0" + bytes(media.DC_LENGTHS) + bytes(media.DC_VALUES)) + media._segment(0xC4, b"\x10" + bytes((1, *[0] * 15)) + b"\0")
+    scans = b"".join(media._segment(0xDD, values[c].shape[1].to_bytes(2, "big")) + media._segment(0xDA, bytes((1, c + 1, 0, 0, 63, 0))) + data for c, (_, data) in enumerate(parts))
+    return b"\xff\xd8" + tables + frame + scans + b"\xff\xd9"
+
+
+def test_pictures_with_a_scan_for_each_component():
+    rng = np.random.default_rng(12)
+    luma, small = rng.integers(0, 256, (6, 8)).astype(np.uint8), rng.integers(0, 256, (3, 4)).astype(np.uint8)
+    assert (media.decode_dc([baseline([luma, luma[::-1], luma.T.reshape(6, 8)], ((1, 1),) * 3)])[0][0] == luma).all()
+    assert (media.decode_dc([baseline([luma, small, small], ((2, 2), (1, 1), (1, 1)))])[0][0] == luma).all()
+    for broken in (b"\xff\xd8\xff\xd9", b"\xff\xd8" + media._segment(0xDA, bytes((1, 1, 0, 0, 63, 0))) + b"\0\xff\xd9"):
+        with pytest.raises(ValueError):
+            media.decode_dc([broken])
+
+
+def test_features_against_plain_loops(docs):
+    for r in media.media_columns(docs.where("doc_id IN (4, 7)")).collect():
+        size, digest = r.feature.split(":")
+        width, height = map(int, size.split("x"))
+        payload = TEXTS[r.doc_id].encode()
+        payload += b"\xff" * (-len(payload) % 576)
+        assert width * height == 64 * len(payload) and hashlib.sha256(r.media).hexdigest() == r.media_sha256
+        cols, rows = width // 8, height // 8
+        at = lambda n, k: [int(x) for x in np.linspace(0, n, k + 1)]
+        ys, xs = at(rows, 8), at(cols, 9)
+        cell = lambda i, j: np.mean([payload[y * cols + x] for y in range(min(ys[i], max(ys[i + 1], ys[i] + 1) - 1), min(max(ys[i + 1], ys[i] + 1), rows)) for x in range(xs[j], max(xs[j + 1], xs[j] + 1))])
+        bits = "".join("1" if cell(i, j) < cell(i, j + 1) else "0" for i in range(8) for j in range(8))
+        assert f"{int(bits, 2):016x}" == digest
+    assert media.media_columns(empty(docs)).count() == 0 and "source" not in media.media_columns(docs).columns
+
+
+def test_top_k_of_odd_tables(spark, monkeypatch):
+    """Vectors of several lengths, repeated ids and rows, null ids, several shards, blocks and chunks."""
+    from pagestrata.llm import topk_search
+
+    monkeypatch.setattr(topk_search, "CHUNK_ROWS", 7)
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.normal(0, 1, 4 if i % 3 else 6).tolist()) for i in range(90)] + [(40, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]), (40, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]), (20, rows_20 := [0.5] * 4), (None, [1.0] * 4), (200, [])]
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    q = lambda v: tuple(int(np.floor(64 * x)) for x in v)
+    good = [(i, q(v)) for i, v in rows if i is not None]
+    want = []
+    for i, v in {x for x in good if x[0] % 20 == 0}:
+        hits = sorted(((sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in good if j != i and len(w) == len(v)), key=lambda x: (-x[0], x[1]))[:5]
+        want += [(i, n, j, s) for n, (s, j) in enumerate(hits, 1)]
+    for block, shard in ((8192, 1 << 20), (2, 10)):
+        got = exact_top_k(made, k=5, block=block, shard_rows=shard)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_reply_cycles_and_repeats(spark):
+    tree = spark.createDataFrame([(1, 1, 2, "user", "a", 0.0), (1, 2, 1, "user", "b", 0.0), (1, 3, 2, "user", "c", 0.0), (1, 4, 3, "user", "d", 0.0), (1, 5, None, "user", "root", 0.0), (1, 6, 5, "assistant", "leaf", 0.0), (1, 6, 5, "assistant", "leaf", 0.0), (1, None, 5, "user", "lost", 0.0), (2, 1, 1, "user", "self", 0.0)] + [(3, i, i - 1 if i else None, "user", f"m{i}", 0.0) for i in range(9)], "conv_id long, msg_id long, parent_id long, role string, text string, score double")
+    got = {r.conv_id: [t.text for t in r.turns] for r in read_back(format_paths(tree.selectExpr("*", "1 AS depth", "2 AS leaf_id", "3 AS up"), branches=9)).collect()}
+    assert got == {1: ["root", "leaf"], 3: [f"m{i}" for i in range(9)]}
+
+
+def test_a_very_long_turn(spark):
+    text = "<|im_end|>\\" * 60_000
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    row = digests(format_paths(threads(turns))).first()
+    assert row.loss_chars == len(text) and row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_more_languages_than_one_mask_holds(spark):
+    rng = np.random.default_rng(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, langs = [], [f"l{i:02d}" for i in range(70)]
+    for i, lang in enumerate(langs):
+        words = ["".join(rng.choice(list(letters), 7)) for _ in range(6)]
+        rows += [(100 * i + j, " ".join(rng.choice(words, 8)), lang) for j in range(14)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify_languages(made).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.97 and {got[i] for i, _, _ in rows} == set(langs)
+
+
+def plain_tilt(sizes, target, most=2.0):
+    """Rates of least relative entropy by bisection on the dual."""
+    mean, low, high = sum(sizes) / len(sizes), -60.0, 60.0
+    for _ in range(200):
+        lam = (low + high) / 2
+        got = sum(min(most, np.exp(np.clip(lam * s / mean, -700, 50))) * s for s in sizes)
+        low, high = (lam, high) if got < target else (low, lam)
+    return [min(most, float(np.exp(np.clip(lam * s / mean, -700, 50)))) for s in sizes]
+
+
+def test_mixing_follows_the_optimum(spark):
+    """Copies by source and size are the rounded rates of a plain solver, up to the copies moved to meet the target; clashing columns stay."""
+    rng = np.random.default_rng(15)
+    rows = [(i, "w " * int(rng.integers(1, 30)), f"s{i % 4}", "u") for i in range(600)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string, each string").selectExpr("*", "1 AS n", "2 AS k", "3 AS _key", "4 AS extra", "5 AS row", "6 AS target")
+    got = mix_sources(made).collect()
+    assert {(r.each, r.n, r.k, r._key, r.extra, r.row) for r in got} == {("u", 1, 2, 3, 4, 5)}
+    for s in {r.source for r in got}:
+        own = [r for r in got if r.source == s]
+        assert {r.source_taken for r in own} == {sum(r.taken for r in own)} and abs(own[0].source_taken - own[0].target) <= 1
+        if own[0].target < 2 * own[0].source_size:
+            rates = plain_tilt([r.size for r in own], own[0].target)
+            off = 0.0
+            for size in {r.size for r in own}:
+                pick = [i for i, r in enumerate(own) if r.size == size]
+                off += abs(sum(own[i].copies for i in pick) - sum(rates[i] for i in pick))
+            assert off <= len({r.size for r in own}) + 4
+
+
+def pipeline_docs(spark, path, rows):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(r[0], int("$$$" not in (r[1] or "")), 0) for r in rows if r[0] is not None], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Each stage on its predecessor's rows against plain loops, with null, empty and repeated rows, null ids, and a very long text."""
+    import corpus_pipeline as P
+
+    rng = np.random.default_rng(16)
+    plain = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(plain, 60)) + (" buy now $$$ click" * 6 if i % 4 == 0 else ""), "en", f"s{i % 3}", 0) for i in range(120)]
+    rows += [(200, rows[1][1], "en", "s0", 0), (201, rows[1][1] + " end", "en", "s1", 0), (202, "x " + " ".join(rows[2][1].split()[:30]) + " y z", "en", None, 0), (203, None, "en", "s1", 0), (204, "", "en", "s1", 0), (205, LONG, "en", "s2", 0), (None, "null id of words", "en", "s2", 0)]
+    pipeline_docs(spark, str(tmp_path), rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names = docs.columns
+    kept = {}
+    for name, stage in P.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == names, name
+        after.write.parquet(f"{tmp_path}/{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = [(r.doc_id, r.text) for r in docs.collect()]
+        if name == "quality":
+            scored = quality_scores(before, spark.read.parquet(f"{tmp_path}/labels.parquet"), threshold=0.7).where("predicted = 1").select("doc_id")
+            assert sorted(str(d) for d, _ in kept[name]) == sorted(str(r.doc_id) for r in scored.collect())
+            clean = {r[0] for r in rows if r[0] is not None and r[1] and "$$$" not in r[1]}
+            assert len({d for d, _ in kept[name]} & clean) >= 0.95 * len(clean) and not any("$$$" in (t or "") for _, t in kept[name])
+            last = [(r.doc_id, r.text) for r in before.join(scored, "doc_id", "left_semi").collect()]
+            assert len(last) <= len(kept[name])
+        elif name == "near copies":
+            want = expected_classes([x for x in last_rows if x[0] is not None], 5, 80)
+            assert sorted(d for d, _ in kept[name] if d is not None) == sorted(d for d, (_, c) in want.items() if c == d)
+        elif name == "repeated passages":
+            want = expected_dedup(last_rows)
+            assert all(WORD.findall(t or "") == WORD.findall(want[d][2]) for d, t in kept[name]) and len(kept[name]) == len(last_rows)
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in docs.collect())
+        else:
+            assert {d for d, _ in kept[name]} <= {d for d, _ in last_rows} and max(kept[name].count(x) for x in set(kept[name])) <= 2
+        last_rows = kept[name]
+    packed = P.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == {d for d, _ in last_rows}
+    assert sorted(tuple(r) for r in P.run(spark, str(tmp_path)).select("doc_id", "piece", "ids_crc32").collect()) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in packed) if None not in {r.doc_id for r in packed} else True
