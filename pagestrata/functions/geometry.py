@@ -35,11 +35,33 @@ def greedy_clusters(keys: Column, tolerance: float = 10.0) -> Column:
     return F.aggregate(keys, empty, step, lambda a: a["out"])
 
 
+def greedy(keys: list[float], tolerance: float = 10.0) -> list[int]:
+    """greedy_clusters() of plain numbers."""
+    founders: list[float] = []
+    out = []
+    for key in keys:
+        place = next((i for i, f in enumerate(founders) if abs(f - key) <= tolerance), len(founders))
+        if place == len(founders):
+            founders.append(key)
+        out.append(place)
+    return out
+
+
 def union_area_of(boxes: np.ndarray) -> float:
     """Area covered by boxes (x0, y0, x1, y1), by a sweep over compressed coordinates."""
     boxes = boxes[(boxes[:, 2] > boxes[:, 0]) & (boxes[:, 3] > boxes[:, 1])] if len(boxes) else boxes
     if not len(boxes):
         return 0.0
+    # boxes by top: those of one horizontal band are swept together, so that memory follows the boxes of a band
+    order = np.argsort(boxes[:, 1], kind="stable")
+    boxes, reach = boxes[order], np.maximum.accumulate(boxes[order, 3])
+    cuts = np.r_[0, np.flatnonzero(boxes[1:, 1] >= reach[:-1]) + 1, len(boxes)]
+    return float(sum(_band_area(boxes[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)))
+
+
+def _band_area(boxes: np.ndarray) -> float:
+    if len(boxes) == 1:
+        return float((boxes[0, 2] - boxes[0, 0]) * (boxes[0, 3] - boxes[0, 1]))
     xs, ys = np.unique(boxes[:, [0, 2]]), np.unique(boxes[:, [1, 3]])
     cover = np.zeros((len(xs), len(ys)), np.int32)
     a, b, c, d = (np.searchsorted(g, boxes[:, k]) for g, k in ((xs, 0), (ys, 1), (xs, 2), (ys, 3)))
@@ -49,26 +71,30 @@ def union_area_of(boxes: np.ndarray) -> float:
     return float((cover[:-1, :-1] * np.diff(xs)[:, None] * np.diff(ys)[None, :]).sum())
 
 
-def components(adjacent: np.ndarray) -> np.ndarray:
-    """Smallest member of each row's component under a symmetric relation."""
-    label = np.arange(len(adjacent))
-    while len(label):
-        low = np.where(adjacent, label[None, :], len(label)).min(axis=1)
-        new = np.minimum(label, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
-
-
 def block_labels(boxes: np.ndarray, margin: float = 15.0) -> np.ndarray:
-    """Block number of each line; lines whose boxes overlap after `margin` is added above and below share a block."""
-    if not len(boxes):
-        return np.zeros(0, int)
-    x0, y0, x1, y1 = boxes.T
-    meet = (x0[:, None] < x1[None, :]) & (x0[None, :] < x1[:, None]) & (y0[:, None] - margin < y1[None, :]) & (y0[None, :] < y1[:, None] + margin)
-    return np.unique(components(meet | meet.T), return_inverse=True)[1]
+    """Block number of each line, in order of its first line; lines whose boxes overlap after `margin` is added above and below share a block.
+
+    Lines are swept by their top; each meets only those that still reach it.
+    """
+    n = len(boxes)
+    up = list(range(n))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    rows, active = boxes.tolist(), []
+    for i in np.argsort(boxes[:, 1], kind="stable").tolist() if n else ():
+        x0, y0, x1, y1 = rows[i]
+        active = [j for j in active if rows[j][3] + margin > y0]
+        for j in active:
+            if x0 < rows[j][2] and rows[j][0] < x1 and rows[j][1] - margin < y1:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+        active.append(i)
+    return np.unique([root(i) for i in range(n)], return_inverse=True)[1] if n else np.zeros(0, int)
 
 
 def aligned_clusters(keys: np.ndarray, y0: np.ndarray, height: np.ndarray, threshold: float) -> list[list[int]]:
@@ -100,12 +126,12 @@ def drop_outlier(values: np.ndarray, which: list[int] | None = None, ratio: floa
     return np.delete(values, i) if best < ratio else values
 
 
-def title_layout(boxes: np.ndarray, words: np.ndarray, width: float) -> tuple[bool, bool]:
-    """(centered, aligned) layout of a page's lines."""
+def title_layout(boxes: np.ndarray, words: np.ndarray, width: float, height: np.ndarray | None = None) -> tuple[bool, bool]:
+    """(centered, aligned) layout of a page's lines; height: their font sizes, if not those of the boxes."""
     if not len(boxes):
         return False, False
     x0, y0, x1, y1 = boxes.T
-    center, tall, near, total = x0 + (x1 - x0) / 2, np.abs(y1 - y0), 0.05 * width, max(words.sum(), 1)
+    center, tall, near, total = x0 + (x1 - x0) / 2, np.abs(y1 - y0) if height is None else height, 0.05 * width, max(words.sum(), 1)
     kept = 0
     for g in aligned_clusters(center, y0, tall, near):
         left = drop_outlier(x0[g])

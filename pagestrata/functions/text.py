@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B, _E, _W = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])", r"[\p{L}\p{N}_]"
 # fixed values: patterns
@@ -24,22 +29,27 @@ def any_of(text: Column, patterns: list[str]) -> Column:
     return out
 
 
+def terms_pattern(terms: list[str]) -> str:
+    """One pattern that finds any of the terms; nothing, if there are none."""
+    return "|".join(re.escape(t) for t in terms) if terms else r"(?!)"
+
+
 def contains_any(text: Column, terms: list[str]) -> Column:
-    """Whether any term is a substring; terms are literals, so this stays one compiled expression."""
-    out = F.lit(False)
-    for t in terms:
-        out = out | F.contains(text, F.lit(t))
-    return out
+    """Whether any term is a substring, looked for in one scan of the text."""
+    return F.regexp_like(text, F.lit(terms_pattern(terms))) if terms else F.lit(False)
 
 
 def is_description(text: Column, lang: Column, include: dict, exclude: dict | None = None) -> Column:
     """Any included and no excluded substring of the lower-cased text, by language, German for any other."""
     low = F.lower(text)
-    rule = lambda k: contains_any(low, include[k]) & ~contains_any(low, (exclude or {}).get(k, []))
-    out = rule("de")
-    for k in ("fr", "it", "en"):
-        out = F.when(lang == k, rule(k)).otherwise(out)
-    return out
+    by = lambda terms: F.when(lang == "fr", terms_pattern(terms.get("fr", []))).when(lang == "it", terms_pattern(terms.get("it", []))).when(lang == "en", terms_pattern(terms.get("en", []))).otherwise(terms_pattern(terms.get("de", [])))
+    found = F.regexp_like(low, by(include))
+    return found & ~F.regexp_like(low, by(exclude)) if exclude else found
+
+
+def first_match(text: Column, patterns: list[str]) -> Column:
+    """What the first of the patterns that matches has found; null if none does."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 0), F.lit("")) for p in patterns])
 
 
 def clean_label(text: Column) -> Column:
@@ -54,7 +64,7 @@ def clean_tokens(text: Column) -> Column:
     """Words of lines with more than four letters: longer than one character, no digit, at least one common letter."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_count(x, F.lit(r"\p{L}")) > 4)
     words = F.split(F.array_join(lines, " "), r"\s+")
-    return F.filter(words, lambda w: (F.length(w) > 1) & ~F.regexp_like(w, F.lit("[0-9]")) & F.regexp_like(w, F.lit("[a-zA-Zéàèöäüç]")))
+    return F.filter(words, lambda w: F.regexp_like(w, F.lit("^(?=.*[a-zA-Zéàèöäüç])[^0-9]{2,}$")))
 
 
 def nontrivial_words(text: Column) -> Column:
@@ -67,14 +77,45 @@ def is_map_word(w: Column) -> Column:
     return title | upper | F.regexp_like(w, F.lit(NUMBER))
 
 
-def language_scores(text: Column, stop_words: dict[str, list[str]]) -> Column:
-    """Up to five (score, lang), best first: each language's share of all function words met; none when none is met."""
-    tokens = F.transform(clean_tokens(text), F.lower)
-    met = lambda words: F.size(F.filter(tokens, lambda t: t.isin(words)))
-    counts = F.array(*[F.struct(F.lit(k).alias("lang"), met(v).alias("n")) for k, v in sorted(stop_words.items())])
-    total = F.aggregate(counts, F.lit(0), lambda a, x: a + x["n"])
-    scored = F.transform(F.filter(counts, lambda x: x["n"] > 0), lambda x: F.struct((-F.round(x["n"] / total, 6)).alias("minus"), x["lang"].alias("lang")))
-    return F.transform(F.slice(F.array_sort(scored), 1, 5), lambda x: F.struct(x["lang"].alias("lang"), (-x["minus"]).alias("score")))
+_SPACES = re.compile("[^ \t\n\x0b\f\r]+")
+_LONG = re.compile(r"[^\W\d_]{5,}")
+
+
+def count_words(text: str | None, stops: dict[str, list[int]], n: int) -> tuple[list[int], int]:
+    """How often function words of each of n languages stand on lines with more than four letters, and the number of words of five letters or more."""
+    counts = [0] * n
+    for line in (text or "").split("\n"):
+        if sum(map(str.isalpha, line[:64])) > 4 or sum(map(str.isalpha, line)) > 4:
+            for word in _SPACES.findall(line.lower()):
+                for k in stops.get(word, ()):
+                    counts[k] += 1
+    return counts, len(_LONG.findall(text or ""))
+
+
+def with_scores(df: DataFrame, stop_words: dict[str, list[str]], text: str = "text") -> DataFrame:
+    """df without its text, with _s (up to five (lang, score), best first) and words (number of long words).
+
+    Function words are counted in one pass over the text, for all languages at once. A score is a language's share of all function words met.
+    """
+    langs = sorted(stop_words)
+    stops: dict[str, list[int]] = {}
+    for k, lang in enumerate(langs):
+        for word in stop_words[lang]:
+            stops.setdefault(word, []).append(k)
+    names = [c for c in df.columns if c != text]
+
+    def run(batches):
+        for batch in batches:
+            got = [count_words(x, stops, len(langs)) for x in batch.column(text).to_pylist()]
+            met = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1) * len(langs), pa.int32()), pa.array([v for c, _ in got for v in c], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], met, pa.array([w for _, w in got], pa.int32())], names=[*names, "_met", "words"])
+
+    schema = T.StructType([*[df.schema[c] for c in names], T.StructField("_met", T.ArrayType(T.IntegerType())), T.StructField("words", T.IntegerType())])
+    counted = df.mapInArrow(run, schema)
+    total = F.aggregate("_met", F.lit(0), lambda a, x: a + x)
+    scored = F.transform("_met", lambda n, i: F.struct((-F.round(n / F.col("_total"), 6)).alias("minus"), F.get(F.array(*map(F.lit, langs)), i).alias("lang")))
+    best = F.transform(F.slice(F.array_sort(F.filter(scored, lambda x: x["minus"] < 0)), 1, 5), lambda x: F.struct(x["lang"].alias("lang"), (-x["minus"]).alias("score")))
+    return counted.withColumn("_total", total).withColumn("_s", F.when(F.col("_total") > 0, best).otherwise(F.expr("CAST(array() AS array<struct<lang: string, score: double>>)"))).drop("_met", "_total")
 
 
 def classification_language(scores: Column, words: Column) -> Column:

@@ -54,7 +54,7 @@ CAPTION = {
     "fr": [["profil", "log", "lithostratigraphique"], ["forage", "sondage"]],
     "it": [["profilo", "log", "stratigrafico", "diagramma"], ["perforazione", "sondaggio"]],
 }
-# fixed values: front-page templates; a group is hit by any of its alternatives
+# fixed values: front-page templates; a group is hit by any of its alternatives; the office before ", Geologische Informationsstelle" may be any
 _COVER, _SHEET = ["PAGE DE GARDE", "P A G E DE G A R D E"], ["BELEGBLATT", "B E L E G B L A T T"]
 FRONT_PAGES = [
     [_COVER, ["No AGS"], ["numéro ou signe"], ["distinctif original"], ["Commettants"], ["Réseau km"]],
@@ -64,10 +64,19 @@ FRONT_PAGES = [
     [_SHEET, ["SGD-Nr"], ["Originalkenn"], ["zeichen des"], ["Dokumentes"], ["Km-Netz"], ["Kartenblatt"], ["Auftraggeber"]],
     [_SHEET, ["SGD-Nr"], ["Originalnummer"], ["kennzeichen"], ["des Dokumentes"], ["Km-Netz"], ["Kartenblatt"], ["Auftraggeber"]],
     [["Auszug aus dem Titelverzeichnis"], ["Sortierung nach:"], ["Unser Zeichen:"], ["InfoGeol-Nr."], ["Metatitel"], ["Dokumentenzusammensetzung"]],
-    [["Auszug aus dem Titelverzeichnis"], ["Sortierung nach:"], ["Unser Zeichen:"], ["InfoGeol-Nr."], ["Fläche"], ["Chronostratigraphie"], ["Tektonische Einheit"], ["Lithologie"], ["Aufschlussart"], ["Hydrologie"], ["swisstopo, Geologische Informationsstelle"]],
+    [["Auszug aus dem Titelverzeichnis"], ["Sortierung nach:"], ["Unser Zeichen:"], ["InfoGeol-Nr."], ["Fläche"], ["Chronostratigraphie"], ["Tektonische Einheit"], ["Lithologie"], ["Aufschlussart"], ["Hydrologie"], [", Geologische Informationsstelle"]],
     [["DETAILBILD DER DOKU", "D E T A I L B I L D"], ["Z-SETZ"], ["SGM-DZ"], ["BERICHTE"], ["TABELLEN"], ["NOTIZEN"], ["DIAGRAMME"], ["SEITEN"], ["BEILAGEN"]],
     [["SGS-DOKUMENTNUMMER"], ["AUTOREN"], ["AUFTRAGGEBER oder HERAUSGEBER"], ["ZUSAMMENSETZUNG DES DOKUMENTES"], ["DATUM"], ["STANDORT"], ["VERFUEGBARKEIT"], ["NATIONALKARTENBLATT"], ["STICHWOERTER"]],
 ]
+# fixed values: headings of tables of contents
+CONTENTS = {
+    "en": ["table of contents", "contents", "index", "overview", "summary", "list of topics"],
+    "de": ["inhalt", "inhaltsverzeichnis", "übersicht", "index", "zusammenfassung", "kapitelübersicht"],
+    "fr": ["table des matières", "sommaire", "index", "aperçu", "résumé"],
+    "it": ["liste des chapitres", "contenuto", "indice dei contenuti", "panoramica", "indice", "sommario", "panoramica dei capitoli"],
+}
+# fixed values: pages kept of each class when a report is sampled
+SAMPLE_CAPS = {"text": 1, "boreprofile": 2, "map": 2, "title_page": 2, "unknown": 5, "geo_profile": 5, "table": 5, "diagram": 5}
 # frequent function words for the built-in language scorer; a trained model may take its place
 STOP_WORDS = {
     "de": ["der", "die", "das", "und", "ist", "nicht", "für", "sich", "ein", "eine", "von", "mit"],

@@ -1,4 +1,4 @@
-"""Page operators on one row a page: projections over line arrays, no shuffle."""
+"""Page operators on one row a page: projections over line arrays, no shuffle but for line segments and the roll-up."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as G
 from ..functions import text as X
 from ..functions import vocabulary as V
+from .evidence import evidence
 
 
 def total(lines: Column | str, f) -> Column:
@@ -25,132 +26,172 @@ def extent(pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", "page", F.array_min(F.transform("lines", lambda x: x["x0"])).alias("x0"), F.array_min(F.transform("lines", lambda x: x["y0"])).alias("y0"), F.array_max(F.transform("lines", lambda x: x["x1"])).alias("x1"), F.array_max(F.transform("lines", lambda x: x["y1"])).alias("y1"))
 
 
-def annotate(pages: DataFrame, title: Column | None = None, width: float = 612.0) -> DataFrame:
-    """pages with block (number of each line), word_area, block_area, and centered and aligned where `title` holds.
-
-    One Arrow pass over whole pages; all that Catalyst has no expression for is done here.
-    """
-    box = F.transform("lines", lambda x: F.struct(x["x0"], x["y0"], x["x1"], x["y1"], x["n_words"].cast("double")))
-    base = pages.withColumn("_boxes", box).withColumn("_title", F.coalesce(title, F.lit(False)) if title is not None else F.lit(False))
-    schema = T.StructType([*pages.schema, T.StructField("block", T.ArrayType(T.IntegerType())), T.StructField("word_area", T.DoubleType()), T.StructField("block_area", T.DoubleType()), T.StructField("centered", T.BooleanType()), T.StructField("aligned", T.BooleanType())])
-    return base.mapInArrow(_annotate(pages.columns, width), schema)
-
+def block_rows(pages: DataFrame) -> DataFrame:
+    """doc_id, page, block, n_lines and the box of each block, from one Arrow pass over boxes."""
+    boxes = pages.select("doc_id", "page", F.transform("lines", lambda x: F.struct(x["x0"], x["y0"], x["x1"], x["y1"])).alias("b"))
+    schema = T.StructType([boxes.schema["doc_id"], boxes.schema["page"], *[T.StructField(n, T.IntegerType()) for n in ("block", "n_lines")], *[T.StructField(n, T.DoubleType()) for n in ("x0", "y0", "x1", "y1")]])
 
-def _annotate(names: list[str], width: float):
     def run(batches):
         for batch in batches:
-            column = batch.column("_boxes")
+            column = batch.column("b")
             at = column.offsets.to_numpy()
-            flat = np.stack([f.to_numpy(zero_copy_only=False) for f in column.values.flatten()], axis=1) if len(column.values) else np.zeros((0, 5))
-            wanted = batch.column("_title").to_pylist()
-            block, words, blocks, centered, aligned = [], [], [], [], []
+            flat = np.stack([f.to_numpy(zero_copy_only=False) for f in column.values.flatten()], axis=1) if len(column.values) else np.zeros((0, 4))
+            flat, at = flat[at[0] : at[-1]], at - at[0]
+            of, block = [], []
             for i in range(len(batch)):
-                rows = flat[at[i] : at[i + 1]]
-                b = G.block_labels(rows[:, :4])
-                hull = np.array([[*rows[b == k, :2].min(axis=0), *rows[b == k, 2:4].max(axis=0)] for k in range(b.max() + 1 if len(b) else 0)]).reshape(-1, 4)
-                block.append(b.astype(np.int32))
-                words.append(G.union_area_of(rows[rows[:, 4] > 1, :4]))
-                blocks.append(G.union_area_of(hull))
-                c, a = G.title_layout(rows[:, :4], rows[:, 4], width) if wanted[i] else (None, None)
-                centered.append(c)
-                aligned.append(a)
-            new = [pa.array(block, pa.list_(pa.int32())), pa.array(words, pa.float64()), pa.array(blocks, pa.float64()), pa.array(centered, pa.bool_()), pa.array(aligned, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *new], names=[*names, "block", "word_area", "block_area", "centered", "aligned"])
+                labels = G.block_labels(flat[at[i] : at[i + 1]])
+                block.append(labels)
+                of.append(np.full(len(labels), i))
+            of, block = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (of, block))
+            order = np.lexsort((block, of))
+            of, block, flat = of[order], block[order], flat[order]
+            first = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (block[1:] != block[:-1])][: len(of)])
+            sides = [f.reduceat(flat[:, k], first) if len(first) else np.zeros(0) for k, f in enumerate((np.minimum, np.minimum, np.maximum, np.maximum))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of[first])), batch.column("page").take(pa.array(of[first])), pa.array(block[first], pa.int32()), pa.array(np.diff(np.r_[first, len(of)]), pa.int32()), *[pa.array(x, pa.float64()) for x in sides]], names=schema.names)
 
-    return run
+    return boxes.mapInArrow(run, schema)
 
 
-def block_rows(pages: DataFrame) -> DataFrame:
-    """doc_id, page, block, n_lines and the box of each block."""
-    marked = annotate(pages.select("doc_id", "page", "lines"))
-    each = marked.select("doc_id", "page", "lines", "block", F.explode(F.array_distinct("block")).alias("b")).select("doc_id", "page", "b", F.filter("lines", lambda x, i: F.get("block", i) == F.col("b")).alias("l"))
-    side = lambda name: F.transform("l", lambda x: x[name])
-    return each.select("doc_id", "page", F.col("b").alias("block"), F.size("l").alias("n_lines"), F.array_min(side("x0")).alias("x0"), F.array_min(side("y0")).alias("y0"), F.array_max(side("x1")).alias("x1"), F.array_max(side("y1")).alias("y1"))
-
-
-def word_density(pages: DataFrame) -> DataFrame:
-    """doc_id, page, words_per_line, density: area of multi-word lines by area of the blocks.
-
-    The first word of a line carries the whole line's box, so the union of a line's word boxes is the line's box.
-    """
-    return annotate(pages.select("doc_id", "page", "lines")).select("doc_id", "page", mean_words().alias("words_per_line"), F.coalesce(F.try_divide("word_area", "block_area"), F.lit(0.0)).alias("density"))
+def line_blocks(pages: DataFrame) -> DataFrame:
+    """doc_id, page, lno, block, block_lines of each line."""
+    boxes = pages.select("doc_id", "page", F.transform("lines", lambda x: F.struct(x["x0"], x["y0"], x["x1"], x["y1"])).alias("b"))
+    schema = T.StructType([boxes.schema["doc_id"], boxes.schema["page"], *[T.StructField(n, T.IntegerType()) for n in ("lno", "block", "block_lines")]])
 
+    def run(batches):
+        for batch in batches:
+            at, of, lno, block, size = 0, [], [], [], []
+            for i, page in enumerate(batch.column("b").to_pylist()):
+                labels = G.block_labels(np.array([tuple(b.values()) for b in page], float).reshape(-1, 4))
+                of.append(np.full(len(labels), i))
+                lno.append(np.arange(len(labels)))
+                block.append(labels)
+                size.append(np.bincount(labels, minlength=1)[labels] if len(labels) else labels)
+            of, lno, block, size = (np.concatenate(x) if x else np.zeros(at, np.int64) for x in (of, lno, block, size))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(of)) for c in ("doc_id", "page")] + [pa.array(x, pa.int32()) for x in (lno, block, size)], names=schema.names)
 
-def with_language(pages: DataFrame) -> DataFrame:
-    """pages with lang: the classification language of each page's text, which picks its keywords."""
-    scored = pages.withColumn("_text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n")).withColumn("_scores", X.language_scores(F.col("_text"), V.STOP_WORDS)).withColumn("_words", X.nontrivial_words(F.col("_text")))
-    return scored.withColumn("lang", X.classification_language(F.col("_scores"), F.col("_words"))).drop("_text", "_scores", "_words")
+    return boxes.mapInArrow(run, schema)
 
 
-def material_lines(pages: DataFrame, lang: Column) -> Column:
-    return F.filter("lines", lambda x: X.is_description(x["text"], lang, V.MATERIAL, V.MATERIAL_NOT))
+def material_clusters(pages: DataFrame) -> DataFrame:
+    """doc_id, page, cluster, n_lines, n_words, and the box from the topmost line's corner to the lowest one's, of descriptions of material at one left edge."""
+    found = F.filter("lines", lambda x: X.is_description(x["text"], F.col("lang"), V.MATERIAL, V.MATERIAL_NOT))
+    marked = pages.select("doc_id", "page", found.alias("m")).where(F.size("m") > 0).withColumn("c", G.greedy_clusters(F.transform("m", lambda x: x["x0"])))
+    each = marked.select("doc_id", "page", F.explode(F.arrays_zip("m", "c")).alias("z")).select("doc_id", "page", F.col("z.c").alias("cluster"), "z.m.*")
+    top, low = F.struct("y0", "lno"), F.struct("y1", -F.col("lno"))
+    return each.groupBy("doc_id", "page", "cluster").agg(F.count(F.lit(1)).cast("int").alias("n_lines"), F.sum("n_words").cast("int").alias("n_words"), F.min_by("x0", top).alias("x0"), F.min("y0").alias("y0"), F.max_by("x1", low).alias("x1"), F.max("y1").alias("y1"))
 
 
-def map_lines(pages: DataFrame, lang: Column) -> Column:
-    return F.filter("lines", lambda x: X.is_description(x["text"], lang, V.MAP, V.MAP_NOT))
+def description_noise(clusters: DataFrame, words: DataFrame) -> DataFrame:
+    """clusters with noise (words inside the box by words of the description) and valid (noise below 1.5, fewer than three lines).
 
+    Every word inside counts, those of the description too, as they do where words are read apart from lines.
+    """
+    c, w = clusters.alias("c"), words.alias("w")
+    inside = [F.col("c.doc_id") == F.col("w.doc_id"), F.col("c.page") == F.col("w.page"), F.col("w.x0") >= F.col("c.x0"), F.col("w.x1") <= F.col("c.x1"), F.col("w.y0") >= F.col("c.y0"), F.col("w.y1") <= F.col("c.y1")]
+    held = c.join(w, inside).groupBy("c.doc_id", "c.page", "c.cluster").agg(F.count(F.lit(1)).alias("_inside"))
+    noise = F.coalesce("_inside", F.lit(0)) / F.col("n_words")
+    return clusters.join(held, ["doc_id", "page", "cluster"], "left").withColumn("noise", noise).drop("_inside").withColumn("valid", (F.col("noise") < 1.5) & (F.col("n_lines") < 3))
 
-def depth_entries(pages: DataFrame) -> DataFrame:
-    """doc_id, page, entries: words that are depth numbers, by top, with their value."""
-    found = lambda x: F.transform(F.filter(x["words"], lambda w: F.regexp_like(F.replace(w["text"], F.lit(","), F.lit(".")), F.lit(X.DEPTH))), lambda w: F.struct(x["y0"].alias("y0"), w["x0"].alias("x0"), F.regexp_extract(F.replace(w["text"], F.lit(","), F.lit(".")), X.DEPTH, 1).try_cast("double").alias("value")))
-    return pages.select("doc_id", "page", F.array_sort(F.flatten(F.transform("lines", found))).alias("entries"))
 
+def density(e=F.col) -> Column:
+    """Area of lines of several words by area of blocks; the first word of a line carries its box, so that box is the union of the line's words."""
+    return F.coalesce(F.try_divide(e("word_area"), e("block_area")), F.lit(0.0))
 
-def sidebars(entries: DataFrame) -> DataFrame:
-    """doc_id, page, cluster, n: greedy clusters of depth numbers by left edge with at least three strictly increasing values."""
-    numbered = entries.where(F.size("entries") > 0).withColumn("_c", G.greedy_clusters(F.transform("entries", lambda e: e["x0"])))
-    each = numbered.select("doc_id", "page", F.explode(F.array_distinct("_c")).alias("cluster"), F.arrays_zip("entries", "_c").alias("_z"))
-    values = each.select("doc_id", "page", "cluster", F.transform(F.filter("_z", lambda z: z["_c"] == F.col("cluster")), lambda z: z["entries"]["value"]).alias("_v"))
-    rising = F.forall(F.sequence(F.lit(1), F.size("_v") - 1), lambda i: F.get("_v", i) > F.get("_v", i - 1))
-    return values.where(F.size("_v") >= 3).where(rising).select("doc_id", "page", "cluster", F.size("_v").alias("n"))
 
+def features(found: DataFrame, pages: DataFrame, stats: DataFrame) -> DataFrame:
+    """The 17 features of each page for tree models, in fixed order; pages without lines give zeros.
 
-def page_features(pages: DataFrame, lang: Column) -> DataFrame:
-    """Layout and text features of each page for tree models; pages without lines give zeros."""
+    found: evidence of pages; stats: segment_stats by doc_id and page of all segments, short ones too.
+    """
     n = F.size("lines")
     text = F.array_join(F.transform("lines", lambda x: x["text"]), " ")
     mean = lambda f: total("lines", f) / n
     var = lambda f: F.greatest(total("lines", lambda x: f(x) * f(x)) / n - F.pow(total("lines", f) / n, 2), F.lit(0.0))
     solid = F.regexp_replace(text, r"\s", "")
-    features = {
-        "words_per_line": mean_words(), "mean_left": mean(lambda x: x["x0"]), "mean_right": mean(lambda x: x["x1"]), "text_width": mean(lambda x: x["x1"] - x["x0"]), "line_count": n.cast("double"),
-        "line_length_variance": var(lambda x: x["n_words"]), "indent_std": F.sqrt(var(lambda x: x["x0"])), "punctuation_per_line": F.regexp_count(text, F.lit(X.PUNCTUATION)) / n,
-        "capital_ratio": F.coalesce(F.try_divide(F.regexp_count(solid, F.lit(r"\p{Lu}")), F.length(solid)), F.lit(0.0)), "description_count": F.size(material_lines(pages, lang)).cast("double"), "map_keyword_lines": F.size(map_lines(pages, lang)).cast("double"),
-    }
-    return pages.select("doc_id", "page", *[F.coalesce(F.round(v, 6), F.lit(0.0)).alias(k) for k, v in features.items()])
-
-
-def segment_stats(segs: DataFrame) -> DataFrame:
-    """page, n, grid, non_grid, entropy, score: one aggregation of segments by page and angle bin, then one by page."""
+    shape = pages.select("doc_id", "page", mean(lambda x: x["x0"]).alias("mean_left"), mean(lambda x: x["x1"]).alias("mean_right"), mean(lambda x: x["x1"] - x["x0"]).alias("text_width"), var(lambda x: x["n_words"]).alias("line_length_variance"), F.sqrt(var(lambda x: x["x0"])).alias("indent_std"), (F.regexp_count(text, F.lit(X.PUNCTUATION)) / n).alias("punctuation_per_line"), F.coalesce(F.try_divide(F.regexp_count(solid, F.lit(r"\p{Lu}")), F.length(solid)), F.lit(0.0)).alias("capital_ratio"))
+    wide = found.join(shape, ["doc_id", "page"]).join(stats.select("doc_id", "page", "grid", "non_grid", "entropy"), ["doc_id", "page"], "left")
+    values = {
+        "words_per_line": F.col("words_per_line"), "text_density": F.coalesce(F.try_divide("summed_area", "extent_area"), F.lit(0.0)), "mean_left": F.col("mean_left"), "mean_right": F.col("mean_right"), "text_width": F.col("text_width"), "line_count": F.col("n_lines").cast("double"),
+        "line_length_variance": F.col("line_length_variance"), "indent_std": F.col("indent_std"), "punctuation_per_line": F.col("punctuation_per_line"), "capital_ratio": F.col("capital_ratio"), "has_sidebar": (F.col("n_sidebars") > 0).cast("double"), "has_bore_keyword": F.col("bore_keyword").cast("double"),
+        "description_count": F.col("n_descriptions").cast("double"), "map_keyword_lines": F.col("map_keyword_lines").cast("double"), "grid_length": F.col("grid"), "non_grid_length": F.col("non_grid"), "angle_entropy": F.col("entropy"),
+    }
+    return wide.select("doc_id", "page", *[F.coalesce(F.round(v, 6), F.lit(0.0)).alias(k) for k, v in values.items()])
+
+
+def segment_stats(segs: DataFrame, keys: tuple[str, ...] = ("page",)) -> DataFrame:
+    """Keys with n, grid, non_grid, entropy, score: one aggregation of segments by keys and angle bin, then one by keys."""
     s = segs.withColumn("length", G.segment_length(*[F.col(c) for c in ("sx", "sy", "ex", "ey")])).withColumn("angle", G.segment_angle(*[F.col(c) for c in ("sx", "sy", "ex", "ey")]))
-    bins = s.groupBy("page", G.angle_bin(F.col("angle")).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(G.is_grid(F.col("angle")), F.col("length")).otherwise(0.0)).alias("g"), F.sum(F.when(G.is_grid(F.col("angle")), 0.0).otherwise(F.col("length"))).alias("o"))
-    sums = bins.groupBy("page").agg(F.sum("n").alias("n"), F.sum("g").alias("grid"), F.sum("o").alias("non_grid"), F.sum(F.col("n") * F.log("n")).alias("_e"))
+    bins = s.groupBy(*keys, G.angle_bin(F.col("angle")).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(G.is_grid(F.col("angle")), F.col("length")).otherwise(0.0)).alias("g"), F.sum(F.when(G.is_grid(F.col("angle")), 0.0).otherwise(F.col("length"))).alias("o"))
+    sums = bins.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("g").alias("grid"), F.sum("o").alias("non_grid"), F.sum(F.col("n") * F.log("n")).alias("_e"))
     entropy = (F.log("n") - F.col("_e") / F.col("n")) / F.log2(F.lit(36.0))
     return sums.withColumn("entropy", entropy).withColumn("score", 0.5 * F.col("entropy") + 0.4 * F.least(F.col("non_grid") / (F.col("grid") + 1) / 10, F.lit(1.0))).drop("_e")
 
 
-def is_title_candidate(lines="lines") -> Column:
-    """3 to 35 lines with a mean vertical gap over 35 where there is a gap."""
-    n = F.size(lines)
-    gap = (F.element_at(F.col(lines), -1)["y0"] - F.get(lines, F.lit(0))["y0"]) / F.greatest(n - 1, F.lit(1))
-    return (n >= 3) & (n <= 35) & (gap > 35)
+def long_segments(segs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Segments (doc_id, page, ...) longer than the page's mean font size times the root of two, where it has more than seven words; else all."""
+    words = total("lines", lambda x: x["n_words"])
+    font = total("lines", lambda x: F.abs(x["y1"] - x["y0"])) / F.size("lines")
+    least = pages.select("doc_id", "page", F.when(words > 7, font * 2.0**0.5).alias("_least"))
+    length = G.segment_length(*[F.col(c) for c in ("sx", "sy", "ex", "ey")])
+    return segs.join(least, ["doc_id", "page"]).where(F.col("_least").isNull() | (length > F.col("_least"))).drop("_least")
+
 
+def is_text() -> Column:
+    return (density() > 0.5) & (F.col("words_per_line") > 3)
 
-def cascade(pages: DataFrame, lang: Column, title: bool = True, profile: str = "dev") -> DataFrame:
-    """doc_id, page, label: text, borehole profile, geological profile (dev profile only), map, title page, else unknown.
 
-    The first rule that holds decides. Keyword evidence is plain expressions; the Arrow pass that finds blocks looks at title layouts only
-    on pages that no keyword rule claims.
+def bore_ratio() -> Column:
+    """Words of material descriptions by alphabetic words, raised where the page has a sidebar or a keyword."""
+    return F.coalesce(F.try_divide("material_words", "alpha_words"), F.lit(0.0)) + F.when(F.col("n_sidebars") > 0, 0.1).otherwise(0.0) + F.when(F.col("bore_keyword"), 0.05).otherwise(0.0)
+
+
+def is_boreprofile() -> Column:
+    return (F.col("n_descriptions") > 0) & (bore_ratio() > 0.3)
+
+
+def is_geo_profile() -> Column:
+    score = F.coalesce("score", F.lit(0.0))
+    return F.col("geo_keyword") | ((score > 0.15) & (score < 0.25) & (F.coalesce("n", F.lit(0)) > 500))
+
+
+def map_score() -> Column:
+    return F.coalesce("score", F.lit(0.0)) + F.when(F.col("map_keyword_lines") > 0, 0.05).otherwise(0.0) + F.when(F.col("map_like_ratio") > 0.75, 0.1).otherwise(0.0)
+
+
+def is_title_page() -> Column:
+    return F.col("is_candidate") & (F.col("centered") | F.col("aligned") | (F.col("large_font") & (F.col("clues") >= 2)))
+
+
+def rules(profile: str = "dev") -> list[tuple[str, Column]]:
+    """Classes and their rules, in the order in which they decide; a caller may replace or add some.
+
+    Digital pages (column digital) are text only below an image share of 0.7, borehole profiles also by a caption below an image, or else only with
+    drawings, and maps only with images or drawings.
     """
-    material = material_lines(pages, lang)
-    words = total("lines", lambda x: x["n_words"])
-    bore = total(material, lambda x: x["n_words"]) / words + 0.05 * F.exists("lines", lambda x: X.is_description(x["text"], lang, V.BOREPROFILE)).cast("int")
-    text = F.lower(F.array_join(F.transform("lines", lambda x: x["text"]), "\n"))
-    clues = X.is_description(text, lang, V.TITLE).cast("int") + X.any_of(text, X.DATES).cast("int") + X.any_of(text, X.PHONES).cast("int")
-    sizes = F.transform("lines", lambda x: F.abs(x["y1"] - x["y0"]))
-    known = pages.select("doc_id", "page", "lines", ((F.size(material) > 0) & (bore > 0.3)).alias("is_boreprofile"), (F.exists("lines", lambda x: X.is_description(x["text"], lang, V.GEO)) & F.lit(profile == "dev")).alias("is_geo"), is_title_candidate().alias("is_candidate"), ((F.size(F.array_distinct(sizes)) > 5) & (F.array_max(sizes) > 20) & (clues >= 2)).alias("is_large"))
-    marked = annotate(known, F.col("is_candidate") & ~F.col("is_boreprofile") & ~F.col("is_geo") if title else None)
-    is_text = (F.coalesce(F.try_divide("word_area", "block_area"), F.lit(0.0)) > 0.5) & (mean_words() > 3)
-    is_title = F.col("is_candidate") & (F.coalesce("centered", F.lit(False)) | F.coalesce("aligned", F.lit(False)) | F.col("is_large")) & F.lit(title)
-    label = F.when(is_text, "text").when(F.col("is_boreprofile"), "boreprofile").when(F.col("is_geo"), "geo_profile").when(is_title, "title_page").otherwise("unknown")
-    return marked.select("doc_id", "page", label.alias("label"))
+    drawn = F.col("n_drawings") > 0
+    text = F.when(F.col("digital"), (F.col("image_coverage") < 0.7) & is_text()).otherwise(is_text())
+    bore = F.when(F.col("digital"), ((F.size("image_boxes") > 0) & F.col("caption_keywords")) | (drawn & is_boreprofile())).otherwise(is_boreprofile())
+    on_map = F.when(F.col("digital"), ((F.size("image_boxes") > 0) | drawn) & (map_score() > 0.4)).otherwise(map_score() > 0.4)
+    geo = [("geo_profile", is_geo_profile())] if profile == "dev" else []
+    return [("text", text), ("boreprofile", bore), *geo, ("map", on_map), ("title_page", is_title_page())]
+
+
+def cascade(pages: DataFrame, segs: DataFrame | None = None, profile: str = "dev", order: list[tuple[str, Column]] | None = None) -> DataFrame:
+    """doc_id, page, label: the class of the first rule that holds, else unknown.
+
+    pages: text_pages with words and lang; digital, n_drawings and image_boxes where known, else all pages count as scanned. segs: doc_id, page, sx, sy, ex, ey.
+    """
+    base = pages
+    for name, none in (("digital", F.lit(False)), ("n_drawings", F.lit(0)), ("image_boxes", F.expr("CAST(array() AS array<struct<x0: double, y0: double, x1: double, y1: double>>)"))):
+        if name not in base.columns:
+            base = base.withColumn(name, none)
+    # image boxes go through the pass and stay as columns of their page
+    found = evidence(base.withColumn("_boxes", F.col("image_boxes"))).withColumnRenamed("_boxes", "image_boxes")
+    if segs is not None:
+        found = found.join(segment_stats(long_segments(segs, pages), ("doc_id", "page")).select("doc_id", "page", "n", "score"), ["doc_id", "page"], "left")
+    else:
+        found = found.withColumns({"n": F.lit(None).cast("long"), "score": F.lit(None).cast("double")})
+    label = F.lit("unknown")
+    for name, rule in reversed(order or rules(profile)):
+        label = F.when(rule, name).otherwise(label)
+    return found.select("doc_id", "page", label.alias("label"))

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-WORDS_PER_LINE, LINES_PER_PAGE, PAGE_WIDTH = 12, 40, 612.0
+log = logging.getLogger(__name__)
+
+WORDS_PER_LINE, LINES_PER_PAGE, INDENT, PAGE_WIDTH, PAGE_HEIGHT = 12, 40, 20.0, 612.0, 792.0
 _registry: dict[str, Callable[..., DataFrame]] = {}
 
 
@@ -28,8 +35,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, length, content of PDF files below a folder, or of one file; upper and lower case suffixes."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]").load(path)
+    """path, length, content of PDF files below a folder, or of one file; upper and lower case suffixes. Any other path gives an error in the log and no rows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = store.exists(where) and store.getFileStatus(where).isDirectory()
+    if not folder and not (store.exists(where) and path.lower().endswith(".pdf")):
+        log.error("neither a folder nor a PDF file: %s", path)
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (files.option("pathGlobFilter", "*.[pP][dD][fF]") if folder else files).load(path)
+
+
+def is_digital(boxlog: Column) -> Column:
+    """Whether a page's log of boxes (type, x0, y0, x1, y1) holds a filled or stroked text box that is not empty."""
+    return F.coalesce(F.exists(boxlog, lambda b: b["type"].isin("fill-text", "stroke-text") & (b["x1"] > b["x0"]) & (b["y1"] > b["y0"])), F.lit(False))
+
+
+def rotate(box: Column, matrix: Column) -> Column:
+    """A box under an affine map (a, b, c, d, e, f), as the box around its corners."""
+    x = [matrix["a"] * box[p] + matrix["c"] * box[q] + matrix["e"] for p, q in (("x0", "y0"), ("x0", "y1"), ("x1", "y0"), ("x1", "y1"))]
+    y = [matrix["b"] * box[p] + matrix["d"] * box[q] + matrix["f"] for p, q in (("x0", "y0"), ("x0", "y1"), ("x1", "y0"), ("x1", "y1"))]
+    return F.struct(F.least(*x).alias("x0"), F.least(*y).alias("y0"), F.greatest(*x).alias("x1"), F.greatest(*y).alias("y1"))
+
+
+def page_graphics(pages: DataFrame) -> DataFrame:
+    """pages (digital, drawings, images array of (xref, rotation, places array of boxes), matrix) with n_drawings and one flat list of image boxes, of digital pages only.
+
+    Boxes of images on rotated pages go through the page's matrix.
+    """
+    boxes = F.flatten(F.transform("images", lambda i: F.transform(i["places"], lambda b: F.when(i["rotation"] != 0, rotate(b, F.col("matrix"))).otherwise(F.struct(*[b[c].alias(c) for c in ("x0", "y0", "x1", "y1")])))))
+    none = F.expr("CAST(array() AS array<struct<x0: double, y0: double, x1: double, y1: double>>)")
+    return pages.withColumn("n_drawings", F.when(F.col("digital"), F.size("drawings")).otherwise(0)).withColumn("image_boxes", F.when(F.col("digital"), F.coalesce(boxes, none)).otherwise(none))
+
+
+def content_box(box: Column, page: Column, dpi: float = 150.0) -> Column:
+    """A pixel box at dpi in points; the page's box where none was found."""
+    return F.when(box.isNotNull(), F.struct(*[(box[c] * 72 / dpi).alias(c) for c in ("x0", "y0", "x1", "y1")])).otherwise(page)
+
+
+def object_listing(spark: SparkSession, prefix: str, n: int, seed: int = 42) -> DataFrame:
+    """path, length of at most n PDF objects below a prefix of any store that Hadoop reads, by a seeded hash of the path."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]").load(prefix).select("path", "length")
+    return found.orderBy(F.xxhash64("path", F.lit(seed)), "path").limit(n)
+
+
+def layout_samples(pages: DataFrame, labels: DataFrame | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """words, bboxes (0 to 1000 of the page's size), image, label of each page for layout models; a missing label stays null.
+
+    pages: filename, page, words array of (text, x0, y0, x1, y1), image binary, width, height. prepare: a step on the samples.
+    """
+    side = lambda v, size: F.greatest(F.lit(0), (F.lit(1000) * v / F.col(size)).cast("int"))
+    boxes = F.transform("words", lambda w: F.array(side(w["x0"], "width"), side(w["y0"], "height"), side(w["x1"], "width"), side(w["y1"], "height")))
+    out = pages.select("filename", "page", F.transform("words", lambda w: w["text"]).alias("words"), boxes.alias("bboxes"), "image")
+    out = out.join(labels.select("filename", "page", F.col("label")), ["filename", "page"], "left") if labels is not None else out.withColumn("label", F.lit(None).cast("int"))
+    return prepare(out) if prepare else out
+
+
+def labelled_keys(truth: DataFrame, classes: list[str]) -> DataFrame:
+    """filename, page, label (number of the class) of the classes set to 1 in truth (filename, page, label, value); an unknown name raises."""
+    names = F.array(*map(F.lit, classes))
+    place = F.array_position(names, F.col("label"))
+    number = F.when(place > 0, place - 1).otherwise(F.raise_error(F.concat(F.lit("no such class: "), F.col("label"))))
+    return truth.where("value = 1").select("filename", "page", number.cast("int").alias("label"))
 
 
 def classified_files(files: DataFrame, classes: list[str]) -> DataFrame:
@@ -53,27 +120,78 @@ def read_params(path: str) -> dict:
     return yaml.safe_load(Path(path).read_text())
 
 
-def text_pages(docs: DataFrame) -> DataFrame:
-    """doc_id, page, lines: a fixed layout of plain texts, one row a page, made in narrow steps without a shuffle.
-
-    Paragraphs are the text's lines; twelve words a line, forty lines a page; six points a character; a paragraph gap of 30 points.
+_WORD = re.compile("[^ \t\n\x0b\f\r]+")
+_WORD_TYPE = pa.struct([("text", pa.string()), ("x0", pa.float64()), ("x1", pa.float64())])
+LINES = "array<struct<lno: int, par: int, seg: int, n_words: int, text: string, x0: double, y0: double, x1: double, y1: double, words: array<struct<text: string, x0: double, x1: double>>>>"
+
+
+def _lay_out(names: list[str], words: bool):
+    def run(batches):
+        for batch in batches:
+            doc, page, lines_of = [], [], [0]
+            lno, par, seg, told, size, y0, texts = [], [], [], [], [], [], []
+            for d, text in enumerate(batch.column("text").to_pylist()):
+                at, gap = 0, 0.0
+                for p, line in enumerate((text or "").split("\n")):
+                    found = _WORD.findall(line)
+                    for s in range(0, len(found), WORDS_PER_LINE):
+                        k = at % LINES_PER_PAGE
+                        if not k:
+                            gap = 0.0
+                            doc.append(d)
+                            page.append(at // LINES_PER_PAGE + 1)
+                            lines_of.append(lines_of[-1])
+                        elif not s and p:
+                            gap += 30.0
+                        lines_of[-1] += 1
+                        part = found[s : s + WORDS_PER_LINE]
+                        lno.append(k)
+                        par.append(p)
+                        seg.append(s // WORDS_PER_LINE)
+                        told.append(" ".join(part))
+                        size.append(len(part))
+                        y0.append(60.0 + 14.0 * k + gap)
+                        if words:
+                            texts += part
+                        at += 1
+            left = 50.0 + INDENT * (np.array(par, np.int64) % 3)
+            top, n = np.array(y0), np.array(size, np.int64)
+            columns = [pa.array(lno, pa.int32()), pa.array(par, pa.int32()), pa.array(seg, pa.int32()), pa.array(size, pa.int32()), pa.array(told, pa.string()), pa.array(left, pa.float64()), pa.array(top, pa.float64()), pa.array(left + 6.0 * np.fromiter(map(len, told), np.int64, len(told)), pa.float64()), pa.array(top + 10.0, pa.float64())]
+            if words:
+                wide = np.fromiter(map(len, texts), np.int64, len(texts))
+                off = np.cumsum(wide + 1) - wide - 1
+                first = np.cumsum(n) - n
+                x0 = 50.0 + 6.0 * (off - np.repeat(off[first], n)) + np.repeat(left - 50.0, n) if len(texts) else np.zeros(0)
+                boxes = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(x0, pa.float64()), pa.array(x0 + 6.0 * wide, pa.float64())], fields=list(_WORD_TYPE))
+                columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), boxes))
+            else:
+                columns.append(pa.nulls(len(told), pa.list_(_WORD_TYPE)))
+            made = pa.StructArray.from_arrays(columns, names=["lno", "par", "seg", "n_words", "text", "x0", "y0", "x1", "y1", "words"])
+            kept = [batch.column(c).take(pa.array(doc, pa.int64())) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(page, pa.int32()), pa.ListArray.from_arrays(pa.array(lines_of, pa.int32()), made)], names=[*names, "page", "lines"])
+
+    return run
+
+
+def text_pages(docs: DataFrame, words: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, page, lines (and the columns to keep): a fixed layout of plain texts, one row a page, in one Arrow pass without a shuffle.
+
+    Paragraphs are the text's lines; twelve words a line, forty lines a page; six points a character; a paragraph gap of 30 points; paragraphs are
+    indented by 0, 20, 40 points in turn. words: whether lines hold their words with boxes, else null. Null and blank texts have no pages.
     """
-    words = lambda p: F.regexp_extract_all(p, F.lit(r"(\S+)"), 1)
-    paragraphs = F.transform(F.split("text", "\n"), lambda p, i: F.struct(i.alias("par"), words(p).alias("words")))
-    chunks = F.transform(F.filter(paragraphs, lambda p: F.size(p["words"]) > 0), lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p["words"]) - 1) / WORDS_PER_LINE).cast("int")), lambda s: F.struct(p["par"].alias("par"), s.alias("seg"), F.slice(p["words"], s * WORDS_PER_LINE + 1, WORDS_PER_LINE).alias("words"))))
-    lines = docs.where("text IS NOT NULL").select("doc_id", F.flatten(chunks).alias("_l")).where(F.size("_l") > 0)
-    per_page = lines.select("doc_id", "_l", F.explode(F.sequence(F.lit(1), (F.floor((F.size("_l") - 1) / LINES_PER_PAGE) + 1).cast("int"))).alias("page"))
-    cut = per_page.select("doc_id", "page", F.slice("_l", (F.col("page") - 1) * LINES_PER_PAGE + 1, F.lit(LINES_PER_PAGE)).alias("_l"))
-    gap = lambda i: 30.0 * F.size(F.filter(F.slice(F.col("_l"), F.lit(2), i), lambda x: (x["seg"] == 0) & (x["par"] > 0)))
-    off = lambda ws, k: F.when(k > 0, F.length(F.array_join(F.slice(ws, F.lit(1), k), " ")) + 1).otherwise(0)
+    names = ["doc_id", *keep]
+    schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("page", T.IntegerType()), T.StructField("lines", T._parse_datatype_string(LINES))])
+    return docs.select(*names, "text").mapInArrow(_lay_out(names, words), schema)
 
-    def line(x, i):
-        y0 = (60.0 + 14.0 * i + F.when(i > 0, gap(F.greatest(i, F.lit(1)))).otherwise(0.0)).cast("double")
-        text = F.array_join(x["words"], " ")
-        boxes = F.transform(x["words"], lambda w, k: F.struct(w.alias("text"), (50.0 + 6 * off(x["words"], k)).cast("double").alias("x0"), (50.0 + 6 * (off(x["words"], k) + F.length(w))).cast("double").alias("x1")))
-        return F.struct(i.alias("lno"), x["par"].alias("par"), x["seg"].alias("seg"), F.size(x["words"]).alias("n_words"), text.alias("text"), F.lit(50.0).alias("x0"), y0.alias("y0"), (50.0 + 6 * F.length(text)).cast("double").alias("x1"), (y0 + 10).alias("y1"), boxes.alias("words"))
 
-    return cut.select("doc_id", "page", F.transform("_l", line).alias("lines"))
+def page_words(pages: DataFrame) -> DataFrame:
+    """doc_id, page, block_no, line_no, word_no (in reading order), text, x0, y0, x1, y1 of pages with words: what a word source gives.
+
+    Words of a line jitter by up to a point; from the seventh on they are three points lower on every line whose segment number leaves 2 modulo 5.
+    """
+    each = pages.select("doc_id", "page", F.explode("lines").alias("l")).select("doc_id", "page", "l.par", "l.seg", "l.lno", "l.y0", F.posexplode("l.words").alias("k", "w"))
+    low = F.col("y0") + 0.5 * (F.col("k") % 3) + F.when((F.col("seg") % 5 == 2) & (F.col("k") >= 6), 3.0).otherwise(0.0)
+    return each.select("doc_id", "page", F.col("par").alias("block_no"), F.col("seg").alias("line_no"), (F.col("lno") * WORDS_PER_LINE + F.col("k")).alias("word_no"), F.col("w.text").alias("text"), F.col("w.x0").alias("x0"), low.alias("y0"), F.col("w.x1").alias("x1"), (low + 10).alias("y1"))
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
@@ -82,13 +200,25 @@ def page_lines(pages: DataFrame) -> DataFrame:
 
 
 def segments(vectors: DataFrame) -> DataFrame:
-    """page, vec_id, seg, sx, sy, ex, ey (whole numbers): four components of a vector a segment; the label is the page."""
+    """page, vec_id, seg, sx, sy, ex, ey (whole numbers, cut off towards zero): four components of a vector a segment; the label is the page."""
     at = lambda i, k: F.get("embedding", i * 4 + k)
     point = lambda c: (F.signum(c) * F.floor(F.abs(c.cast("double") * 100))).cast("double")
     parts = F.transform(F.sequence(F.lit(0), (F.floor(F.size("embedding") / 4) - 1).cast("int")), lambda i: F.struct(i.alias("seg"), *[point(at(i, k)).alias(n) for k, n in enumerate(("sx", "sy", "ex", "ey"))]))
     return vectors.where("size(embedding) >= 4").select(F.col("label").alias("page"), "vec_id", F.explode(parts).alias("s")).select("page", "vec_id", "s.*")
 
 
+def page_meta(pages: DataFrame) -> DataFrame:
+    """pages with digital, n_drawings and image_boxes by rules on doc_id that stand in for what a PDF reader gives."""
+    box = F.struct(F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(PAGE_WIDTH).alias("x1"), (150.0 * F.pmod("doc_id", F.lit(8))).alias("y1"))
+    none = F.expr("CAST(array() AS array<struct<x0: double, y0: double, x1: double, y1: double>>)")
+    return pages.withColumns({"digital": F.pmod("doc_id", F.lit(2)) == 0, "n_drawings": F.pmod("doc_id", F.lit(3)).cast("int"), "image_boxes": F.when(F.pmod("doc_id", F.lit(4)) == 0, F.array(box)).otherwise(none)})
+
+
+def page_segments(vectors: DataFrame) -> DataFrame:
+    """segments() by doc_id and page: those of label n belong to page 1 of document -n - 1."""
+    return segments(vectors).select((-F.col("page") - 1).cast("long").alias("doc_id"), F.lit(1).alias("page"), "vec_id", "seg", "sx", "sy", "ex", "ey")
+
+
 def evaluation_pair(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(predictions, truth): filename, page, label from text lengths and from label rows."""
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
