@@ -47,11 +47,11 @@ def _spread(df: DataFrame) -> DataFrame:
 
 def _corpus(spark, sf_dir) -> DataFrame:
     """doc_id, text, lang of all documents and the sample pages."""
-    return _spread(_docs(spark, sf_dir).select("doc_id", "text", "lang").union(samples(spark)))
+    return _spread(_docs(spark, sf_dir).select("doc_id", "text", "lang")).union(samples(spark).coalesce(1))
 
 
-def _pages(spark, sf_dir, words: bool = False, keep: tuple = ()) -> DataFrame:
-    return text_pages(_corpus(spark, sf_dir), words, keep)
+def _pages(spark, sf_dir, words: bool = False, keep: tuple = (), stop_words: dict | None = None) -> DataFrame:
+    return text_pages(_corpus(spark, sf_dir), words, keep, stop_words)
 
 
 def _quoted(x: str) -> str:
@@ -282,7 +282,7 @@ _CASCADE = f"""{_EVID}, cl AS (SELECT doc_id, page, lang, CASE WHEN is_text AND
 
 def _context(spark, sf_dir) -> DataFrame:
     """Pages with words, language and what stands in for a PDF's graphics."""
-    return page_meta(E.with_language(_pages(spark, sf_dir, words=True)))
+    return page_meta(E.with_language(_pages(spark, sf_dir, words=True, stop_words=V.STOP_WORDS)))
 
 
 def _found(spark, sf_dir) -> DataFrame:
@@ -321,7 +321,7 @@ def map_like_ratio(spark, sf_dir):
 @query(f"WITH {_EVID} SELECT doc_id, page, lno, text FROM en")
 def map_entry_lines(spark, sf_dir):
     """Lines of fewer than four words in blocks of at most three lines, without map keywords or scales."""
-    context = E.with_language(_pages(spark, sf_dir))
+    context = E.with_language(_pages(spark, sf_dir, stop_words=V.STOP_WORDS))
     blocks = P.line_blocks(context)
     lines = context.select("doc_id", "page", "lang", F.explode("lines").alias("l")).select("doc_id", "page", "lang", "l.lno", "l.text", "l.n_words")
     plain = ~X.is_description(F.col("text"), F.col("lang"), V.MAP, V.MAP_NOT) & ~F.exists(F.split("text", " "), lambda w: X.any_of(w, X.SCALES))
@@ -353,7 +353,7 @@ def sidebars(spark, sf_dir):
 @query(f"WITH {_EVID}, mc AS (SELECT mt.*, list_position(list_transform(fs, lambda f: abs(f - x0) <= 10), true) - 1 AS cluster FROM mt JOIN mf ON mf.doc_id = mt.doc_id AND mf.page = mt.page) SELECT doc_id, page, CAST(cluster AS INTEGER) AS cluster, CAST(count(*) AS INTEGER) AS n_lines, CAST(sum(n_words) AS INTEGER) AS n_words FROM mc GROUP BY ALL")
 def material_clusters(spark, sf_dir):
     """Lines of material descriptions in clusters of one left edge."""
-    return P.material_clusters(E.with_language(_pages(spark, sf_dir))).select("doc_id", "page", "cluster", "n_lines", "n_words")
+    return P.material_clusters(E.with_language(_pages(spark, sf_dir, stop_words=V.STOP_WORDS))).select("doc_id", "page", "cluster", "n_lines", "n_words")
 
 
 @query(f"WITH {_EVID} SELECT doc_id, page, CAST(clues AS INTEGER) AS clues, clues >= 2 AS enough FROM ev")

@@ -92,30 +92,42 @@ def count_words(text: str | None, stops: dict[str, list[int]], n: int) -> tuple[
     return counts, len(_LONG.findall(text or ""))
 
 
-def with_scores(df: DataFrame, stop_words: dict[str, list[str]], text: str = "text") -> DataFrame:
-    """df without its text, with _s (up to five (lang, score), best first) and words (number of long words).
-
-    Function words are counted in one pass over the text, for all languages at once. A score is a language's share of all function words met.
-    """
-    langs = sorted(stop_words)
+def stop_index(stop_words: dict[str, list[str]]) -> tuple[dict[str, list[int]], int]:
+    """Word -> numbers of the languages (in order of code) that have it, and the number of languages."""
     stops: dict[str, list[int]] = {}
-    for k, lang in enumerate(langs):
+    for k, lang in enumerate(sorted(stop_words)):
         for word in stop_words[lang]:
             stops.setdefault(word, []).append(k)
+    return stops, len(stop_words)
+
+
+def score_counts(df: DataFrame, stop_words: dict[str, list[str]]) -> DataFrame:
+    """df with _s, up to five (lang, score), best first, in place of _met, the function words met of each language; a score is a language's share of all that were met."""
+    langs = sorted(stop_words)
+    total = F.aggregate("_met", F.lit(0), lambda a, x: a + x)
+    scored = F.transform("_met", lambda n, i: F.struct((-F.round(n / F.col("_total"), 6)).alias("minus"), F.get(F.array(*map(F.lit, langs)), i).alias("lang")))
+    best = F.transform(F.slice(F.array_sort(F.filter(scored, lambda x: x["minus"] < 0)), 1, 5), lambda x: F.struct(x["lang"].alias("lang"), (-x["minus"]).alias("score")))
+    none = F.expr("CAST(array() AS array<struct<lang: string, score: double>>)")
+    return df.withColumn("_total", total).withColumn("_s", F.when(F.col("_total") > 0, best).otherwise(none)).drop("_met", "_total")
+
+
+def with_scores(df: DataFrame, stop_words: dict[str, list[str]], text: str = "text") -> DataFrame:
+    """df without its text, with _s (language scores) and words (number of long words), counted in one pass over the text for all languages at once."""
+    stops, n = stop_index(stop_words)
     names = [c for c in df.columns if c != text]
 
     def run(batches):
         for batch in batches:
-            got = [count_words(x, stops, len(langs)) for x in batch.column(text).to_pylist()]
-            met = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1) * len(langs), pa.int32()), pa.array([v for c, _ in got for v in c], pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], met, pa.array([w for _, w in got], pa.int32())], names=[*names, "_met", "words"])
+            got = [count_words(x, stops, n) for x in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *counts_of(got, n)], names=[*names, "_met", "words"])
 
     schema = T.StructType([*[df.schema[c] for c in names], T.StructField("_met", T.ArrayType(T.IntegerType())), T.StructField("words", T.IntegerType())])
-    counted = df.mapInArrow(run, schema)
-    total = F.aggregate("_met", F.lit(0), lambda a, x: a + x)
-    scored = F.transform("_met", lambda n, i: F.struct((-F.round(n / F.col("_total"), 6)).alias("minus"), F.get(F.array(*map(F.lit, langs)), i).alias("lang")))
-    best = F.transform(F.slice(F.array_sort(F.filter(scored, lambda x: x["minus"] < 0)), 1, 5), lambda x: F.struct(x["lang"].alias("lang"), (-x["minus"]).alias("score")))
-    return counted.withColumn("_total", total).withColumn("_s", F.when(F.col("_total") > 0, best).otherwise(F.expr("CAST(array() AS array<struct<lang: string, score: double>>)"))).drop("_met", "_total")
+    return score_counts(df.mapInArrow(run, schema), stop_words)
+
+
+def counts_of(got: list[tuple[list[int], int]], n: int) -> list[pa.Array]:
+    met = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1) * n, pa.int32()), pa.array([v for c, _ in got for v in c], pa.int32()))
+    return [met, pa.array([w for _, w in got], pa.int32())]
 
 
 def classification_language(scores: Column, words: Column) -> Column:

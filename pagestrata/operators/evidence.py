@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,18 +31,19 @@ _SCALES = [re.compile(p) for p in X.SCALES]
 _DEPTH = re.compile(X.DEPTH)
 
 
-def _compiled(include: dict, exclude: dict | None = None) -> dict:
-    return {k: (re.compile(X.terms_pattern(include[k])), re.compile(X.terms_pattern((exclude or {}).get(k, [])))) for k in include}
+class Terms:
+    """Keywords by language: any included and no excluded one inside a lower-cased text. whole: looked for in single words, where one of two words is never found."""
 
+    def __init__(self, include: dict, exclude: dict | None = None, whole: bool = False):
+        self.include = {k: [t for t in v if not whole or " " not in t] for k, v in include.items()}
+        self.exclude = exclude or {}
 
-def _in_words(include: dict) -> dict:
-    """Keywords are looked for in single words, where one of two words is never found."""
-    return {k: re.compile(X.terms_pattern([t for t in v if " " not in t])) for k, v in include.items()}
+    def hit(self, lang: str, text: str) -> bool:
+        return any(t in text for t in self.include[lang]) and not any(t in text for t in self.exclude.get(lang, ()))
 
 
-_MATERIAL, _MAP, _GEO = _compiled(V.MATERIAL, V.MATERIAL_NOT), _compiled(V.MAP, V.MAP_NOT), _compiled(V.GEO)
-_BORE, _TITLE = _in_words(V.BOREPROFILE), _in_words(V.TITLE)
-_CAPTION = {k: [re.compile(X.terms_pattern(g)) for g in v] for k, v in V.CAPTION.items()}
+_MATERIAL, _MAP, _GEO = Terms(V.MATERIAL, V.MATERIAL_NOT), Terms(V.MAP, V.MAP_NOT), Terms(V.GEO)
+_BORE, _TITLE = Terms(V.BOREPROFILE, whole=True), Terms(V.TITLE, whole=True)
 _EDGE = lambda p: re.compile(p.replace(r"[^\p{L}\p{N}_]", r"\W").replace(r"[\p{L}\p{N}_]", r"\w"))
 _DATES, _PHONES = [_EDGE(p) for p in X.DATES], [_EDGE(p) for p in X.PHONES]
 _CAPTION_LINE = _EDGE(X.CAPTION)
@@ -111,60 +113,84 @@ def below(boxes: np.ndarray, image: dict) -> np.ndarray:
     return (image["y1"] - boxes[:, 1] <= 0.25 * tall) & (boxes[:, 0] >= image["x0"] - 0.2 * wide) & (boxes[:, 2] <= image["x1"] + 0.2 * wide)
 
 
-def page_evidence(lang: str, lines: list[dict], images: list[dict], width: float, height: float) -> tuple:
+def page_evidence(lang: str, texts: list[str], boxes: np.ndarray, size: np.ndarray, numbers: list[tuple], rest: np.ndarray, images: list[dict], width: float, height: float) -> tuple:
+    """FIELDS of a page: texts, boxes and sizes (words) of its lines, words with digits (top, left, text), and the area of each line's words but the first."""
     lang = lang if lang in V.MATERIAL else "de"
-    texts = [x["text"] for x in lines]
     low = [t.lower() for t in texts]
-    boxes = np.array([(x["x0"], x["y0"], x["x1"], x["y1"]) for x in lines], float).reshape(-1, 4)
-    size = np.array([x["n_words"] for x in lines], np.int64)
     heights = np.abs(boxes[:, 3] - boxes[:, 1])
     words = [t.split(" ") for t in texts]
     block = G.block_labels(boxes)
     hulls = np.array([[*boxes[block == k, :2].min(axis=0), *boxes[block == k, 2:].max(axis=0)] for k in range(block.max() + 1 if len(block) else 0)]).reshape(-1, 4)
-    said = lambda rule: [bool(rule[lang][0].search(t)) and not rule[lang][1].search(t) for t in low]
-    material = np.flatnonzero(said(_MATERIAL))
-    on_map = [hit or ("000" in t and any(p.search(w) for w in ws for p in _SCALES)) for hit, t, ws in zip(said(_MAP), texts, words, strict=True)]
+    material = [i for i, t in enumerate(low) if _MATERIAL.hit(lang, t)]
+    on_map = [_MAP.hit(lang, t) or ("000" in t and any(p.search(w) for w in ws for p in _SCALES)) for t, ws in zip(low, words, strict=True)]
     in_block = np.bincount(block, minlength=1)
     entry = [i for i in np.lexsort((np.arange(len(block)), block)).tolist() if in_block[block[i]] <= 3 and size[i] < 4 and not on_map[i]]
-    enough = bool(entry) and len(entry) / len(lines) > 0.5
-    found = depth_entries([(x["y0"], w["x0"], w["text"]) for x in lines for w in x["words"] or () if any(map(str.isdigit, w["text"]))])
+    enough = bool(entry) and len(entry) / len(texts) > 0.5
     gap, candidate, centered, aligned = title_evidence(boxes, size, width)
-    heard = lambda patterns: any(p.search(t) for t in low for p in patterns)
-    clues = int(any(_TITLE[lang].search(t) for t in low)) + int(heard(_DATES)) + int(heard(_PHONES))
-    summed = sum((b[2] - b[0]) * (b[3] - b[1]) + sum((w["x1"] - w["x0"]) * (b[3] - b[1]) for w in (x["words"] or ())[1:]) for x, b in zip(lines, boxes, strict=True) if x["n_words"] > 1)
-    extent = (boxes[:, 2].max() - boxes[:, 0].min()) * (boxes[:, 3].max() - boxes[:, 1].min()) if len(lines) else 0.0
-    under = np.zeros(len(lines), bool)
+    heard = lambda patterns: any(p.search(t) for t in low if any(map(str.isdigit, t)) for p in patterns)
+    clues = int(any(_TITLE.hit(lang, t) for t in low)) + int(heard(_DATES)) + int(heard(_PHONES))
+    several = size > 1
+    own = (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1])
+    extent = (boxes[:, 2].max() - boxes[:, 0].min()) * (boxes[:, 3].max() - boxes[:, 1].min()) if len(texts) else 0.0
+    under = np.zeros(len(texts), bool)
     for image in images:
         under |= below(boxes, image)
-    caption = any(_CAPTION_LINE.search(texts[i]) and all(g.search(low[i]) for g in _CAPTION[lang]) for i in np.flatnonzero(under))
+    caption = any(_CAPTION_LINE.search(texts[i]) and all(any(t in low[i] for t in g) for g in V.CAPTION[lang]) for i in np.flatnonzero(under))
     return (
-        len(lines), int(size.sum()), sum(w.isalpha() for ws in words for w in ws), float(heights.mean()) if len(lines) else 0.0, float(size.mean()) if len(lines) else 0.0, G.union_area_of(boxes[size > 1]), G.union_area_of(hulls),
-        len(set(G.greedy(boxes[material, 0].tolist()))), int(size[material].sum()), len(sidebars(found)), any(_BORE[lang].search(t) for t in low), any(said(_GEO)),
-        sum(on_map), len(entry) / len(lines) if lines else 0.0, map_like_ratio([(boxes[i, 0], words[i]) for i in entry], sum(on_map)) if enough else 0.0,
+        len(texts), int(size.sum()), sum(w.isalpha() for ws in words for w in ws), float(heights.mean()) if len(texts) else 0.0, float(size.mean()) if len(texts) else 0.0, G.union_area_of(boxes[several]), G.union_area_of(hulls),
+        len(set(G.greedy(boxes[material, 0].tolist()))), int(size[material].sum()), len(sidebars(depth_entries(numbers))), any(_BORE.hit(lang, t) for t in low), any(_GEO.hit(lang, t) for t in low),
+        sum(on_map), len(entry) / len(texts) if texts else 0.0, map_like_ratio([(boxes[i, 0], words[i]) for i in entry], sum(on_map)) if enough else 0.0,
         gap, candidate, centered, aligned, len(set(heights.tolist())) > 5 and float(heights.max()) > 20, clues,
-        float(summed), float(extent), float(sum((i["x1"] - i["x0"]) * (i["y1"] - i["y0"]) for i in images) / (width * height)), caption,
+        float((own + rest)[several].sum()), float(extent), float(sum((i["x1"] - i["x0"]) * (i["y1"] - i["y0"]) for i in images) / (width * height)), caption,
     )
 
 
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Offsets from 0 and values of a list column; a null list is empty."""
+    at = column.offsets.to_numpy().astype(np.int64)
+    return at - at[0], column.values.slice(at[0], at[-1] - at[0])
+
+
+def _rows(batch: pa.RecordBatch, width: float, height: float) -> list[tuple]:
+    at, lines = _flat(batch.column("lines"))
+    texts = lines.field("text").to_pylist()
+    boxes = np.stack([lines.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x0", "y0", "x1", "y1")], axis=1) if len(lines) else np.zeros((0, 4))
+    size = lines.field("n_words").to_numpy(zero_copy_only=False).astype(np.int64) if len(lines) else np.zeros(0, np.int64)
+    word_at, words = _flat(lines.field("words")) if len(lines) else (np.zeros(1, np.int64), pa.array([], pa.struct([("text", pa.string()), ("x0", pa.float64()), ("x1", pa.float64())])))
+    line_of = np.repeat(np.arange(len(lines)), np.diff(word_at))
+    wide = words.field("x1").to_numpy(zero_copy_only=False) - words.field("x0").to_numpy(zero_copy_only=False)
+    first = np.zeros(len(words), bool)
+    first[word_at[:-1][np.diff(word_at) > 0]] = True
+    rest = np.bincount(line_of, np.where(first, 0.0, wide * (boxes[line_of, 3] - boxes[line_of, 1])), minlength=len(lines)) if len(words) else np.zeros(len(lines))
+    digits = np.flatnonzero(pc.match_substring_regex(words.field("text"), "[0-9]").to_numpy(zero_copy_only=False).astype(bool)) if len(words) else np.zeros(0, np.int64)
+    numbers = list(zip(boxes[line_of[digits], 1].tolist(), words.field("x0").to_numpy(zero_copy_only=False)[digits].tolist(), words.field("text").take(pa.array(digits)).to_pylist(), strict=True))
+    number_at = np.searchsorted(line_of[digits], at)
+    images = batch.column("image_boxes").to_pylist() if "image_boxes" in batch.schema.names else [None] * len(batch)
+    return [page_evidence(lang or "de", texts[a:b], boxes[a:b], size[a:b], numbers[c:d], rest[a:b], found or [], width, height) for lang, found, a, b, c, d in zip(batch.column("lang").to_pylist(), images, at[:-1].tolist(), at[1:].tolist(), number_at[:-1].tolist(), number_at[1:].tolist(), strict=True)]
+
+
 def evidence(pages: DataFrame, width: float = PAGE_WIDTH, height: float = PAGE_HEIGHT) -> DataFrame:
-    """doc_id, page and all FIELDS of pages (doc_id, page, lang, lines with words; image_boxes if there are any)."""
-    wanted = ["doc_id", "page", "lang", "lines", *[c for c in ("image_boxes",) if c in pages.columns]]
+    """All FIELDS of pages (doc_id, page, lang, lines with words, image_boxes if there are any, more columns), and their columns but lines and image_boxes."""
     kept = [c for c in pages.columns if c not in ("lines", "image_boxes")]
     schema = pa.schema([(name, _TYPES[kind][1]) for name, kind in FIELDS])
 
     def run(batches):
         for batch in batches:
-            images = batch.column("image_boxes").to_pylist() if "image_boxes" in wanted else [None] * len(batch)
-            rows = [page_evidence(lang or "de", lines or [], boxes or [], width, height) for lang, lines, boxes in zip(batch.column("lang").to_pylist(), batch.column("lines").to_pylist(), images, strict=True)]
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], names=[*kept, *schema.names])
+            for start in range(0, len(batch), 256):
+                part = batch.slice(start, 256)
+                rows = _rows(part, width, height)
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *columns], names=[*kept, *schema.names])
 
     out = T.StructType([*[pages.schema[c] for c in kept], *[T.StructField(name, _TYPES[kind][0]) for name, kind in FIELDS]])
-    return pages.select(*kept, *wanted[3:]).mapInArrow(run, out)
+    return pages.mapInArrow(run, out)
 
 
 def with_language(pages: DataFrame) -> DataFrame:
-    """pages with lang: the classification language of each page's text, which picks its keywords."""
-    told = pages.withColumn("_text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n"))
-    scored = X.with_scores(told, V.STOP_WORDS, "_text")
+    """pages with lang: the classification language of each page's text, which picks its keywords. Counts that text_pages has made are used."""
+    if "_met" in pages.columns:
+        scored = X.score_counts(pages, V.STOP_WORDS)
+    else:
+        told = pages.withColumn("_text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n"))
+        scored = X.with_scores(told, V.STOP_WORDS, "_text")
     return scored.withColumn("lang", X.classification_language(F.col("_s"), F.col("words"))).drop("_s", "words")

@@ -22,7 +22,8 @@ def lines_from_words(words: DataFrame) -> DataFrame:
     order = Window.partitionBy(*PAGE).orderBy("_from", "word_no")
     first = F.row_number().over(naive.orderBy("word_no")) == 1
     side = lambda f, c: F.when(F.col("_first"), f(c).over(naive)).otherwise(F.col(c)).alias(f"_{c}")
-    carried = words.withColumn("_first", first).withColumn("_from", F.min("word_no").over(naive)).select("*", side(F.min, "x0"), side(F.min, "y0"), side(F.max, "x1"), side(F.max, "y1"))
+    # one exchange by page serves all windows and the aggregation
+    carried = words.repartition(*PAGE).withColumn("_first", first).withColumn("_from", F.min("word_no").over(naive)).select("*", side(F.min, "x0"), side(F.min, "y0"), side(F.max, "x1"), side(F.max, "y1"))
     moved = F.coalesce((F.abs(F.col("_y0") - F.lag("_y0").over(order)) > SAME_LINE).cast("int"), F.lit(0))
     marked = carried.withColumn("_move", moved).withColumn("_at", F.row_number().over(order))
     numbered = marked.withColumn("line_no", F.sum("_move").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import count_words, counts_of, stop_index
+
 log = logging.getLogger(__name__)
 
 WORDS_PER_LINE, LINES_PER_PAGE, INDENT, PAGE_WIDTH, PAGE_HEIGHT = 12, 40, 20.0, 612.0, 792.0
@@ -125,7 +127,7 @@ _WORD_TYPE = pa.struct([("text", pa.string()), ("x0", pa.float64()), ("x1", pa.f
 LINES = "array<struct<lno: int, par: int, seg: int, n_words: int, text: string, x0: double, y0: double, x1: double, y1: double, words: array<struct<text: string, x0: double, x1: double>>>>"
 
 
-def _lay_out(names: list[str], words: bool):
+def _lay_out(names: list[str], words: bool, stops: tuple | None = None):
     def run(batches):
         for batch in batches:
             doc, page, lines_of = [], [], [0]
@@ -168,20 +170,22 @@ def _lay_out(names: list[str], words: bool):
                 columns.append(pa.nulls(len(told), pa.list_(_WORD_TYPE)))
             made = pa.StructArray.from_arrays(columns, names=["lno", "par", "seg", "n_words", "text", "x0", "y0", "x1", "y1", "words"])
             kept = [batch.column(c).take(pa.array(doc, pa.int64())) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(page, pa.int32()), pa.ListArray.from_arrays(pa.array(lines_of, pa.int32()), made)], names=[*names, "page", "lines"])
+            more = counts_of([count_words("\n".join(told[a:b]), *stops) for a, b in zip(lines_of[:-1], lines_of[1:], strict=True)], stops[1]) if stops else []
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(page, pa.int32()), pa.ListArray.from_arrays(pa.array(lines_of, pa.int32()), made), *more], names=[*names, "page", "lines", *(["_met", "words"] if stops else [])])
 
     return run
 
 
-def text_pages(docs: DataFrame, words: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+def text_pages(docs: DataFrame, words: bool = False, keep: tuple[str, ...] = (), stop_words: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, page, lines (and the columns to keep): a fixed layout of plain texts, one row a page, in one Arrow pass without a shuffle.
 
     Paragraphs are the text's lines; twelve words a line, forty lines a page; six points a character; a paragraph gap of 30 points; paragraphs are
-    indented by 0, 20, 40 points in turn. words: whether lines hold their words with boxes, else null. Null and blank texts have no pages.
+    indented by 0, 20, 40 points in turn. words: whether lines hold their words with boxes, else null. stop_words: adds _met and words, what language
+    scores are made of, in the same pass. Null and blank texts have no pages.
     """
     names = ["doc_id", *keep]
-    schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("page", T.IntegerType()), T.StructField("lines", T._parse_datatype_string(LINES))])
-    return docs.select(*names, "text").mapInArrow(_lay_out(names, words), schema)
+    schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("page", T.IntegerType()), T.StructField("lines", T._parse_datatype_string(LINES)), *([T.StructField("_met", T.ArrayType(T.IntegerType())), T.StructField("words", T.IntegerType())] if stop_words else [])])
+    return docs.select(*names, "text").mapInArrow(_lay_out(names, words, stop_index(stop_words) if stop_words else None), schema)
 
 
 def page_words(pages: DataFrame) -> DataFrame:
