@@ -12,6 +12,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,11 +35,29 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    trim_driver(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
     return out
 
 
+def trim_driver(spark: SparkSession) -> str:
+    """What the driver's JVM says on handing freed native memory back; empty where it has no such command.
+
+    Compiling the code of many plans on hundreds of threads leaves hundreds of MB in the allocator's arenas, which only this returns.
+    """
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    named = jvm.java.lang.Class.forName
+    types, given = new_array(jvm.java.lang.Class, 4), new_array(jvm.java.lang.Object, 4)
+    for k, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        types[k] = named(name)
+    given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:  # by the interface, as the server's own class is not open to reflection
+        return named("javax.management.MBeanServer").getMethod("invoke", types).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JJavaError:  # another JVM, or one older than this command
+        return ""
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table behind a materialize() result that nothing reads any more."""
     path = getattr(df, "_table_path", None)

@@ -554,3 +554,12 @@ def test_pipeline_stages(spark, tmp_path):
     packed = P.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == {d for d, _ in last_rows}
     assert sorted(tuple(r) for r in P.run(spark, str(tmp_path)).select("doc_id", "piece", "ids_crc32").collect()) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in packed) if None not in {r.doc_id for r in packed} else True
+
+
+def test_driver_hands_native_memory_back_after_each_table(spark, monkeypatch):
+    from pagestrata.llm import common
+
+    assert "Trim native heap" in common.trim_driver(spark)
+    said, trim = [], common.trim_driver
+    monkeypatch.setattr(common, "trim_driver", lambda s: said.append(trim(s)))
+    assert common.materialize(spark.range(3)).count() == 3 and len(said) == 1 and said[0]
