@@ -30,11 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: later stages survive a lost executor and lineage ends here."""
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: later stages survive a lost executor and lineage ends here. compression: another than the session's."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     trim_driver(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path

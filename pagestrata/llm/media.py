@@ -6,8 +6,8 @@ several components in one scan or a scan each, sampling factors, with or without
 Progressive or arithmetic pictures and broken ones raise ValueError.
 
 encode_flat writes bytes as flat 8 x 8 blocks of a grey baseline picture, quantised so that the DC coefficient is the byte
-less 128: reading the thumbnail back gives the bytes. A row of blocks is a restart segment. Payloads beyond one picture's
-height become several pictures, one after another.
+less 128: reading the thumbnail back gives the bytes. Each 576 blocks are a restart segment. Payloads beyond one picture's
+height become several pictures, one after another. The stored table is compressed by zstd, which finds passages that pictures of one page share.
 
 Defined results: null text is empty; an empty text is one block row set of padding; very long texts take wider or several pictures; rows of one
 doc_id are stored one by one; an empty table gives no rows; of the input only doc_id and text are read.
@@ -73,9 +73,11 @@ def _segment(marker: int, body: bytes) -> bytes:
     return bytes((0xFF, marker)) + (len(body) + 2).to_bytes(2, "big") + body
 
 
-def _picture(values: np.ndarray, width: int) -> bytes:
-    rows = len(values) // width
-    d = np.diff(values.reshape(rows, width).astype(np.int64) - 128, axis=1, prepend=0) + 255
+def _picture(values: np.ndarray, width: int, each: int = 0) -> bytes:
+    """A picture of `width` blocks a row; each: blocks of a restart segment (0: a row)."""
+    rows, each = len(values) // width, each or width
+    parts = len(values) // each
+    d = np.diff(values.reshape(parts, each).astype(np.int64) - 128, axis=1, prepend=0) + 255
     sizes = _SIZES[d].sum(axis=1)
     bits = _BITS[d.reshape(-1)][_KEEP[d.reshape(-1)]]
     padded = -(-sizes // 8) * 8
@@ -84,16 +86,16 @@ def _picture(values: np.ndarray, width: int) -> bytes:
     out[np.arange(len(bits)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = bits
     packed = np.packbits(out)
     escaped = packed == 0xFF
-    row = np.repeat(np.arange(rows), padded // 8)
-    # an escape byte after each 0xFF, a restart marker after each row but the last
-    shift = np.cumsum(escaped) - escaped + 2 * row
-    scan = np.zeros(len(packed) + int(escaped.sum()) + 2 * (rows - 1), np.uint8)
+    part = np.repeat(np.arange(parts), padded // 8)
+    # an escape byte after each 0xFF, a restart marker after each segment but the last
+    shift = np.cumsum(escaped) - escaped + 2 * part
+    scan = np.zeros(len(packed) + int(escaped.sum()) + 2 * (parts - 1), np.uint8)
     scan[np.arange(len(packed)) + shift] = packed
     ends = np.cumsum(padded // 8)[:-1]
-    marks = ends + np.cumsum(escaped)[ends - 1] + 2 * np.arange(rows - 1)
-    scan[marks], scan[marks + 1] = 0xFF, 0xD0 + np.arange(rows - 1) % 8
+    marks = ends + np.cumsum(escaped)[ends - 1] + 2 * np.arange(parts - 1)
+    scan[marks], scan[marks + 1] = 0xFF, 0xD0 + np.arange(parts - 1) % 8
     size = (8 * rows).to_bytes(2, "big") + (8 * width).to_bytes(2, "big")
-    head = b"\xff\xd8" + _segment(0xDB, b"\0" + bytes([8] * 64)) + _segment(0xC0, b"\x08" + size + b"\x01\x01\x11\0") + _segment(0xC4, b"\0" + bytes(DC_LENGTHS) + bytes(DC_VALUES)) + _segment(0xC4, b"\x10" + bytes((1, *[0] * 15)) + b"\0") + _segment(0xDD, width.to_bytes(2, "big")) + _segment(0xDA, b"\x01\x01\0\0\x3f\0")
+    head = b"\xff\xd8" + _segment(0xDB, b"\0" + bytes([8] * 64)) + _segment(0xC0, b"\x08" + size + b"\x01\x01\x11\0") + _segment(0xC4, b"\0" + bytes(DC_LENGTHS) + bytes(DC_VALUES)) + _segment(0xC4, b"\x10" + bytes((1, *[0] * 15)) + b"\0") + _segment(0xDD, each.to_bytes(2, "big")) + _segment(0xDA, b"\x01\x01\0\0\x3f\0")
     return head + scan.tobytes() + b"\xff\xd9"
 
 
@@ -101,7 +103,7 @@ def encode_flat(payload: bytes) -> bytes:
     """payload, of a positive multiple of 576 bytes, as one or more grey pictures."""
     values = np.frombuffer(payload, np.uint8)
     width = 24 if len(values) <= 24 * MAX_ROWS else UNIT
-    return b"".join(_picture(values[at : at + width * MAX_ROWS], width) for at in range(0, len(values), width * MAX_ROWS))
+    return b"".join(_picture(values[at : at + width * MAX_ROWS], width, UNIT) for at in range(0, len(values), width * MAX_ROWS))
 
 
 def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
@@ -327,7 +329,7 @@ def store_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media (the picture of the text's bytes) of each document, as a stored table."""
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(texts.mapInArrow(lean(_store), "doc_id long, n_bytes long, media binary"))
+    return materialize(texts.mapInArrow(lean(_store), "doc_id long, n_bytes long, media binary"), compression="zstd")
 
 
 def media_columns(docs: DataFrame, keep: bool = True) -> DataFrame:

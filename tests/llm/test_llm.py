@@ -563,3 +563,15 @@ def test_driver_hands_native_memory_back_after_each_table(spark, monkeypatch):
     said, trim = [], common.trim_driver
     monkeypatch.setattr(common, "trim_driver", lambda s: said.append(trim(s)))
     assert common.materialize(spark.range(3)).count() == 3 and len(said) == 1 and said[0]
+
+
+def test_stored_pictures_are_small(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    text = " ".join(f"the river of number {i} runs down to the sea" for i in range(600)).encode()
+    payload = text[: len(text) // 576 * 576]
+    assert len(media.encode_flat(payload)) < 1.25 * len(payload)  # a segment for each 24 blocks took 1.32
+    stored = media.store_media(spark.createDataFrame([(i, payload.decode()) for i in range(40)], "doc_id long, text string").coalesce(1))
+    files = list(Path(urlparse(stored._table_path).path).glob("*.parquet"))
+    assert sum(f.stat().st_size for f in files) < 0.2 * stored.selectExpr("sum(length(media))").first()[0]  # copies in one page are found
