@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 _ROOT = Path(__file__).resolve().parent
 _shipped: set[str] = set()
-MAX_BATCH = 16 << 20
+MAX_BATCH = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:

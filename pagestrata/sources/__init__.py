@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,64 +124,97 @@ def read_params(path: str) -> dict:
 
 
 _WORD = re.compile("[^ \t\n\x0b\f\r]+")
+_DIGIT = re.compile("[0-9]")
 _WORD_TYPE = pa.struct([("text", pa.string()), ("x0", pa.float64()), ("x1", pa.float64())])
-LINES = "array<struct<lno: int, par: int, seg: int, n_words: int, text: string, x0: double, y0: double, x1: double, y1: double, words: array<struct<text: string, x0: double, x1: double>>>>"
-
-
-def _lay_out(names: list[str], words: bool, stops: tuple | None = None):
+LINES = "array<struct<lno: int, par: int, seg: int, n_words: int, text: string, x0: double, y0: double, x1: double, y1: double, others: double, words: array<struct<text: string, x0: double, x1: double>>>>"
+SLICE_LINES = 4096
+
+
+class _Lines:
+    """Laid-out lines of successive pages, given out as one Arrow batch and forgotten."""
+
+    def __init__(self, names: list[str], words: bool | str, stops: tuple | None):
+        self.names, self.words, self.stops = names, words, stops
+        self.clear()
+
+    def clear(self) -> None:
+        self.doc, self.page, self.lines_of = [], [], [0]
+        self.lno, self.par, self.seg, self.told, self.size, self.y0, self.texts = [], [], [], [], [], [], []
+
+    def word_lists(self, left: np.ndarray, n: np.ndarray, told: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """others and words of each line."""
+        if not self.words:
+            return pa.nulls(len(told), pa.float64()), pa.nulls(len(told), pa.list_(_WORD_TYPE))
+        wide = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
+        off = np.cumsum(wide + 1) - wide - 1
+        first = np.cumsum(n) - n
+        x0 = left.repeat(n) + 6.0 * (off - np.repeat(off[first], n)) if len(wide) else np.zeros(0)
+        others = 6.0 * (np.add.reduceat(wide, first) - wide[first]) if len(wide) else np.zeros(0)
+        chosen, of = np.arange(len(wide)), n
+        if self.words == "digits":
+            with_digit = pc.match_substring_regex(told, "[0-9]").to_numpy(zero_copy_only=False).astype(bool)
+            line_of = np.repeat(np.arange(len(n)), n)
+            chosen = np.array([i for i in np.flatnonzero(with_digit[line_of]).tolist() if _DIGIT.search(self.texts[i])], np.int64)
+            of = np.bincount(line_of[chosen], minlength=len(n))
+        texts = self.texts if self.words != "digits" else [self.texts[i] for i in chosen.tolist()]
+        boxes = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(x0[chosen], pa.float64()), pa.array(x0[chosen] + 6.0 * wide[chosen], pa.float64())], fields=list(_WORD_TYPE))
+        return pa.array(others, pa.float64()), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(of)], pa.int32()), boxes)
+
+    def batch(self, kept: list[pa.Array]) -> pa.RecordBatch:
+        left, top, n, told = 50.0 + INDENT * (np.array(self.par, np.int64) % 3), np.array(self.y0), np.array(self.size, np.int64), pa.array(self.told, pa.string())
+        right = left + 6.0 * np.fromiter(map(len, self.told), np.int64, len(self.told))
+        columns = [pa.array(self.lno, pa.int32()), pa.array(self.par, pa.int32()), pa.array(self.seg, pa.int32()), pa.array(n, pa.int32()), told, *[pa.array(v, pa.float64()) for v in (left, top, right, top + 10.0)], *self.word_lists(left, n, told)]
+        made = pa.StructArray.from_arrays(columns, names=["lno", "par", "seg", "n_words", "text", "x0", "y0", "x1", "y1", "others", "words"])
+        doc, stops = pa.array(self.doc, pa.int64()), self.stops
+        more = counts_of([count_words("\n".join(self.told[a:b]), *stops) for a, b in zip(self.lines_of[:-1], self.lines_of[1:], strict=True)], stops[1]) if stops else []
+        out = pa.RecordBatch.from_arrays([*[c.take(doc) for c in kept], pa.array(self.page, pa.int32()), pa.ListArray.from_arrays(pa.array(self.lines_of, pa.int32()), made), *more], names=[*self.names, "page", "lines", *(["_met", "words"] if stops else [])])
+        self.clear()
+        return out
+
+
+def _lay_out(names: list[str], words: bool | str, stops: tuple | None = None):
     def run(batches):
         for batch in batches:
-            doc, page, lines_of = [], [], [0]
-            lno, par, seg, told, size, y0, texts = [], [], [], [], [], [], []
-            for d, text in enumerate(batch.column("text").to_pylist()):
-                at, gap = 0, 0.0
-                for p, line in enumerate((text or "").split("\n")):
-                    found = _WORD.findall(line)
-                    for s in range(0, len(found), WORDS_PER_LINE):
-                        k = at % LINES_PER_PAGE
-                        if not k:
-                            gap = 0.0
-                            doc.append(d)
-                            page.append(at // LINES_PER_PAGE + 1)
-                            lines_of.append(lines_of[-1])
-                        elif not s and p:
-                            gap += 30.0
-                        lines_of[-1] += 1
-                        part = found[s : s + WORDS_PER_LINE]
-                        lno.append(k)
-                        par.append(p)
-                        seg.append(s // WORDS_PER_LINE)
-                        told.append(" ".join(part))
-                        size.append(len(part))
-                        y0.append(60.0 + 14.0 * k + gap)
-                        if words:
-                            texts += part
-                        at += 1
-            left = 50.0 + INDENT * (np.array(par, np.int64) % 3)
-            top, n = np.array(y0), np.array(size, np.int64)
-            columns = [pa.array(lno, pa.int32()), pa.array(par, pa.int32()), pa.array(seg, pa.int32()), pa.array(size, pa.int32()), pa.array(told, pa.string()), pa.array(left, pa.float64()), pa.array(top, pa.float64()), pa.array(left + 6.0 * np.fromiter(map(len, told), np.int64, len(told)), pa.float64()), pa.array(top + 10.0, pa.float64())]
-            if words:
-                wide = np.fromiter(map(len, texts), np.int64, len(texts))
-                off = np.cumsum(wide + 1) - wide - 1
-                first = np.cumsum(n) - n
-                x0 = 50.0 + 6.0 * (off - np.repeat(off[first], n)) + np.repeat(left - 50.0, n) if len(texts) else np.zeros(0)
-                boxes = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(x0, pa.float64()), pa.array(x0 + 6.0 * wide, pa.float64())], fields=list(_WORD_TYPE))
-                columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), boxes))
-            else:
-                columns.append(pa.nulls(len(told), pa.list_(_WORD_TYPE)))
-            made = pa.StructArray.from_arrays(columns, names=["lno", "par", "seg", "n_words", "text", "x0", "y0", "x1", "y1", "words"])
-            kept = [batch.column(c).take(pa.array(doc, pa.int64())) for c in names]
-            more = counts_of([count_words("\n".join(told[a:b]), *stops) for a, b in zip(lines_of[:-1], lines_of[1:], strict=True)], stops[1]) if stops else []
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(page, pa.int32()), pa.ListArray.from_arrays(pa.array(lines_of, pa.int32()), made), *more], names=[*names, "page", "lines", *(["_met", "words"] if stops else [])])
+            kept, made = [batch.column(c) for c in names], _Lines(names, words, stops)
+            for start in range(0, len(batch), 64):
+                for d, text in enumerate(batch.column("text").slice(start, 64).to_pylist(), start):
+                    at, gap = 0, 0.0
+                    cut = str.split if text and text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") else _WORD.findall
+                    for p, line in enumerate((text or "").split("\n")):
+                        found = cut(line)
+                        for s in range(0, len(found), WORDS_PER_LINE):
+                            k = at % LINES_PER_PAGE
+                            if not k:
+                                if len(made.told) >= SLICE_LINES:  # what is made of a batch never stands in memory at once
+                                    yield made.batch(kept)
+                                gap = 0.0
+                                made.doc.append(d)
+                                made.page.append(at // LINES_PER_PAGE + 1)
+                                made.lines_of.append(made.lines_of[-1])
+                            elif not s and p:
+                                gap += 30.0
+                            made.lines_of[-1] += 1
+                            part = found[s : s + WORDS_PER_LINE]
+                            made.lno.append(k)
+                            made.par.append(p)
+                            made.seg.append(s // WORDS_PER_LINE)
+                            made.told.append(" ".join(part))
+                            made.size.append(len(part))
+                            made.y0.append(60.0 + 14.0 * k + gap)
+                            if words:
+                                made.texts += part
+                            at += 1
+            yield made.batch(kept)
 
     return run
 
 
-def text_pages(docs: DataFrame, words: bool = False, keep: tuple[str, ...] = (), stop_words: dict[str, list[str]] | None = None) -> DataFrame:
+def text_pages(docs: DataFrame, words: bool | str = False, keep: tuple[str, ...] = (), stop_words: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, page, lines (and the columns to keep): a fixed layout of plain texts, one row a page, in one Arrow pass without a shuffle.
 
     Paragraphs are the text's lines; twelve words a line, forty lines a page; six points a character; a paragraph gap of 30 points; paragraphs are
-    indented by 0, 20, 40 points in turn. words: whether lines hold their words with boxes, else null. stop_words: adds _met and words, what language
+    indented by 0, 20, 40 points in turn. words: whether lines hold their words with boxes, else null; "digits": those with a digit only, which is what evidence
+    reads of them beside others, the width of all words of a line but its first. stop_words: adds _met and words, what language
     scores are made of, in the same pass. Null and blank texts have no pages.
     """
     names = ["doc_id", *keep]

@@ -1,12 +1,14 @@
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pagestrata import catalog
 from pagestrata.functions import geometry as G
 from pagestrata.functions import text as X
+from pagestrata.functions import vocabulary as V
 from pagestrata.operators import evidence as E
 from pagestrata.operators import labels as L
 from pagestrata.operators import lines as W
@@ -373,3 +375,23 @@ def test_vision_hook(spark):
     got = N.vision_classifier(client, lambda rest: rest.withColumn("label", F.lit("text")), qps=1000)(pages)
     assert {r.doc_id: r.label for r in got.collect()} == {1: "map", 2: "text", 3: "text"}
     assert len(N.fit_image(lambda s: b"x" * int(1000 * s * s), 300)) <= 300 and len(N.compress(lambda q: b"x" * q, 40)) <= 40
+
+
+def test_layout_gives_out_pages_in_slices():
+    """What is made of one large batch never stands in memory at once; lines are those of smaller batches."""
+    from pagestrata import sources as S
+
+    text = "\n".join(" ".join(f"Wort{i}x" if i % 7 else f"{i}.5" for i in range(k % 30)) for k in range(3000))
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": [text, None, text[:90000]]})
+    for words in (False, True, "digits"):
+        made = list(S._lay_out(["doc_id"], words)(iter([docs])))
+        assert len(made) > 1 and max(len(b.column("lines").flatten()) for b in made) <= S.SLICE_LINES + S.LINES_PER_PAGE
+        rows = pa.Table.from_batches(made).to_pylist()
+        assert [(r["doc_id"], r["page"]) for r in rows] == [(d, p) for d in (1, 3) for p in range(1, 1 + sum(r["doc_id"] == d for r in rows))]
+        lines = [x for r in rows if r["doc_id"] == 1 for x in r["lines"]]
+        assert " ".join(x["text"] for x in lines).split() == text.split()
+        if words is True:
+            whole = lines
+            assert all(abs(x["others"] - sum(w["x1"] - w["x0"] for w in x["words"][1:])) < 1e-6 for x in lines)
+        if words == "digits":
+            assert [[w for w in x["words"] if any(map(str.isdigit, w["text"]))] for x in whole] == [x["words"] for x in lines]
