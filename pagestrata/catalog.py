@@ -282,7 +282,7 @@ _CASCADE = f"""{_EVID}, cl AS (SELECT doc_id, page, lang, CASE WHEN is_text AND
 
 def _context(spark, sf_dir) -> DataFrame:
     """Pages with words, language and what stands in for a PDF's graphics."""
-    return page_meta(E.with_language(_pages(spark, sf_dir, words=True, stop_words=V.STOP_WORDS)))
+    return page_meta(E.with_language(_pages(spark, sf_dir, words="digits", stop_words=V.STOP_WORDS)))
 
 
 def _found(spark, sf_dir) -> DataFrame:

@@ -97,6 +97,69 @@ def block_labels(boxes: np.ndarray, margin: float = 15.0) -> np.ndarray:
     return np.unique([root(i) for i in range(n)], return_inverse=True)[1] if n else np.zeros(0, int)
 
 
+def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of the component of each of n nodes under edges a, b."""
+    root = np.arange(n)
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def reach_of(page: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Greatest value so far within a page; page ascends."""
+    if not len(value):
+        return value
+    ordered, rank = np.unique(value, return_inverse=True)
+    return ordered[np.maximum.accumulate(page * len(ordered) + rank) - page * len(ordered)]
+
+
+def paged_blocks(boxes: np.ndarray, page: np.ndarray, margin: float = 15.0, steps: int = 64) -> np.ndarray:
+    """block_labels() of the lines of many pages at once, numbered on from page to page; page ascends from 0.
+
+    Each line, by top, meets the one before it, the second before it and so on, while any of its page still reaches it; a page on which one reaches
+    over more than `steps` lines is swept by itself.
+    """
+    order = np.lexsort((boxes[:, 1], page))
+    sides, of = boxes[order], page[order]
+    reach, a, b = reach_of(of, sides[:, 3]) + margin, [], []
+    live = np.arange(len(order))
+    for k in range(1, steps + 1):
+        live = live[live >= k]
+        live = live[(of[live - k] == of[live]) & (reach[live - k] > sides[live, 1])]
+        if not len(live):
+            break
+        one, other = sides[live], sides[live - k]
+        met = (other[:, 3] + margin > one[:, 1]) & (one[:, 0] < other[:, 2]) & (other[:, 0] < one[:, 2]) & (other[:, 1] - margin < one[:, 3])
+        a.append(order[live[met]])
+        b.append(order[live[met] - k])
+    root = components(len(boxes), np.concatenate(a), np.concatenate(b)) if a else np.arange(len(boxes))
+    for p in np.unique(of[live]).tolist():  # still reached after all steps
+        i, j = np.searchsorted(page, [p, p + 1])
+        labels = block_labels(boxes[i:j], margin)
+        root[i:j] = i + np.unique(labels, return_index=True)[1][labels]
+    return np.unique(root, return_inverse=True)[1]
+
+
+def paged_union_area(boxes: np.ndarray, page: np.ndarray, n: int) -> np.ndarray:
+    """union_area_of() the boxes of each of n pages; where they stand one below the other, areas add up."""
+    solid = (boxes[:, 2] > boxes[:, 0]) & (boxes[:, 3] > boxes[:, 1])
+    boxes, page = boxes[solid], page[solid]
+    order = np.lexsort((boxes[:, 1], page))
+    boxes, page = boxes[order], page[order]
+    out = np.bincount(page, (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1]), minlength=n)
+    meets = (page[1:] == page[:-1]) & (boxes[1:, 1] < boxes[:-1, 3])
+    for p in np.unique(page[1:][meets]).tolist():
+        i, j = np.searchsorted(page, [p, p + 1])
+        out[p] = union_area_of(boxes[i:j])
+    return out
+
+
 def aligned_clusters(keys: np.ndarray, y0: np.ndarray, height: np.ndarray, threshold: float) -> list[list[int]]:
     """Seeded directed reachability: a member pulls every unassigned line whose key differs by less than threshold and whose
     top is less than five times the member's own height away. Seeds by y0, then position; single lines are no cluster."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -83,13 +84,17 @@ _LONG = re.compile(r"[^\W\d_]{5,}")
 
 def count_words(text: str | None, stops: dict[str, list[int]], n: int) -> tuple[list[int], int]:
     """How often function words of each of n languages stand on lines with more than four letters, and the number of words of five letters or more."""
-    counts = [0] * n
+    counts, long, good = [0] * n, 0, []
     for line in (text or "").split("\n"):
-        if sum(map(str.isalpha, line[:64])) > 4 or sum(map(str.isalpha, line)) > 4:
-            for word in _SPACES.findall(line.lower()):
-                for k in stops.get(word, ()):
-                    counts[k] += 1
-    return counts, len(_LONG.findall(text or ""))
+        runs = _LONG.findall(line)
+        long += len(runs)
+        if (runs and runs[0].isalpha()) or sum(map(str.isalpha, line)) > 4:
+            good.append(line)
+    low = " ".join(good).lower()
+    for met in filter(None, map(stops.get, low.split(" ") if not any(c in low for c in "\t\x0b\f\r") else _SPACES.findall(low))):
+        for k in met:
+            counts[k] += 1
+    return counts, long
 
 
 def stop_index(stop_words: dict[str, list[str]]) -> tuple[dict[str, list[int]], int]:
@@ -118,7 +123,7 @@ def with_scores(df: DataFrame, stop_words: dict[str, list[str]], text: str = "te
 
     def run(batches):
         for batch in batches:
-            got = [count_words(x, stops, n) for x in batch.column(text).to_pylist()]
+            got = [count_words(x, stops, n) for start in range(0, len(batch), 64) for x in batch.column(text).slice(start, 64).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *counts_of(got, n)], names=[*names, "_met", "words"])
 
     schema = T.StructType([*[df.schema[c] for c in names], T.StructField("_met", T.ArrayType(T.IntegerType())), T.StructField("words", T.IntegerType())])
@@ -140,9 +145,15 @@ def metadata_language(scores: Column, words: Column) -> Column:
 
 
 def front_page(text: Column, templates: list) -> Column:
-    """Whether at least 70 % of the groups of any template are found in the text."""
+    """Whether at least 70 % of the groups of any template are found in the text.
+
+    Of some groups of a template one must be found, as too few are left otherwise; the others are looked for only then.
+    """
+    has = lambda g: functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in g])
     out = F.lit(False)
     for groups in templates:
-        hits = sum((contains_any(text, g).cast("int") for g in groups), F.lit(0))
-        out = out | (10 * hits >= 7 * len(groups))
+        wanted = -(-7 * len(groups) // 10)
+        first = functools.reduce(lambda a, b: a | b, map(has, groups[: len(groups) - wanted + 1]))
+        hits = sum((has(g).cast("int") for g in groups), F.lit(0))
+        out = out | F.when(first, hits >= wanted).otherwise(first)
     return out

@@ -395,3 +395,41 @@ def test_layout_gives_out_pages_in_slices():
             assert all(abs(x["others"] - sum(w["x1"] - w["x0"] for w in x["words"][1:])) < 1e-6 for x in lines)
         if words == "digits":
             assert [[w for w in x["words"] if any(map(str.isdigit, w["text"]))] for x in whole] == [x["words"] for x in lines]
+
+
+def test_boxes_of_many_pages_against_each_page_alone():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        count = rng.integers(0, 45, 12)
+        of = np.repeat(np.arange(12), count)
+        corner = np.stack([rng.integers(0, 300, len(of)), rng.integers(0, 900, len(of))], axis=1).astype(float)
+        boxes = np.concatenate([corner, corner + rng.integers(0, [200, 25], (len(of), 2))], axis=1)
+        boxes[rng.random(len(of)) < 0.02, 3] += 600  # reaches over many lines
+        block, steps = G.paged_blocks(boxes, of), G.paged_blocks(boxes, of, steps=2)
+        area, (gap, there) = G.paged_union_area(boxes, of, 12), E.title_gaps(boxes, of, 12)
+        assert (block == steps).all()
+        for p in range(12):
+            own = boxes[of == p]
+            assert (np.unique(block[of == p], return_inverse=True)[1] == G.block_labels(own)).all()
+            assert abs(area[p] - G.union_area_of(own)) < 1e-6
+            if 3 <= len(own) <= 35:
+                plain = E.title_evidence(own, np.ones(len(own), int), 612.0)[0]
+                assert (plain is None and not there[p]) or abs(plain - gap[p]) < 1e-9
+    assert len(set(block[of == int(of[0])])) and block.max() + 1 == sum(len(set(block[of == p])) for p in range(12))
+
+
+def test_keywords_by_line_against_each_line_alone():
+    page = ["ein sand und mehr", "herr sand", "", "kies", "das ende kies", "karte"]
+    joined, starts = "".join(x + "\n" for x in page), [0, *np.cumsum([len(x) + 1 for x in page]).tolist()]
+    for terms in (E._MATERIAL, E._MAP, E._GEO):
+        plain = {i for i, x in enumerate(page) if any(t in x for t in terms.include["de"]) and not any(t in x for t in terms.exclude.get("de", ()))}
+        assert terms.lines("de", joined, starts) == plain and terms.any("de", joined, starts) == bool(plain)
+
+
+@pytest.mark.parametrize("words", [True, "digits"])
+def test_evidence_is_the_same_whichever_words_a_line_holds(spark, words):
+    docs = spark.createDataFrame([(i, "\n".join(f"{k}.5 Sand und Kies {i}m\nTel. 044 123 45 67 \nKarte 1:25000" for k in range(i + 3))) for i in range(6)] + [(9, None)], "doc_id long, text string")
+    found = E.evidence(E.with_language(text_pages(docs, words=words)), shape=True).drop("lang")
+    bare = text_pages(docs, words=True).withColumn("lines", F.transform("lines", lambda x: x.dropFields("others")))
+    plain = E.evidence(E.with_language(bare), shape=True).drop("lang")
+    assert sorted(found.collect()) == sorted(plain.collect()) and found.where("n_sidebars > 0 AND clues > 0 AND summed_area > 0").count()
