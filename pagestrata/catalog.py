@@ -17,6 +17,7 @@ from .operators import pages as P
 from .shipping import ship
 from .sources import content_box, evaluation_pair, is_digital, page_lines, page_meta, page_segments, page_words, rotate, segments, table, text_pages
 from .sources.samples import SAMPLES, samples
+from .storage import stored
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -280,9 +281,9 @@ _CASCADE = f"""{_EVID}, cl AS (SELECT doc_id, page, lang, CASE WHEN is_text AND
  WHEN gk OR (score > 0.15 AND score < 0.25 AND sn > 500) THEN 'geo_profile' WHEN map_score > 0.4 AND (NOT digital OR image OR drawings > 0) THEN 'map' ELSE 'unknown' END AS label FROM ev)"""
 
 
-def _context(spark, sf_dir) -> DataFrame:
+def _context(spark, sf_dir, metadata: bool = False) -> DataFrame:
     """Pages with words, language and what stands in for a PDF's graphics."""
-    return page_meta(E.with_language(_pages(spark, sf_dir, words="digits", stop_words=V.STOP_WORDS)))
+    return page_meta(E.with_language(_pages(spark, sf_dir, words="digits", stop_words=V.STOP_WORDS), metadata))
 
 
 def _found(spark, sf_dir) -> DataFrame:
@@ -290,9 +291,7 @@ def _found(spark, sf_dir) -> DataFrame:
 
 
 def _with_score(spark, sf_dir) -> DataFrame:
-    context = _context(spark, sf_dir)
-    stats = P.segment_stats(P.long_segments(page_segments(table(spark, sf_dir, "embeddings")), context), ("doc_id", "page"))
-    return E.evidence(context).join(stats.select("doc_id", "page", "n", "score"), ["doc_id", "page"], "left")
+    return P.with_line_score(stored(_found(spark, sf_dir)), page_segments(table(spark, sf_dir, "embeddings")))
 
 
 _six = lambda c, name=None: F.round(c, 6).alias(name or c)
@@ -375,10 +374,10 @@ def image_captions(spark, sf_dir):
 
 
 @query(f"WITH {_CASCADE} SELECT doc_id, page, label FROM cl")
-def page_class_cascade(spark, sf_dir):
-    """All rules but that of title pages, whose layouts SQL cannot express; page_class_full has it."""
+def page_class_cascade(spark, sf_dir, pages=None, keep=()):
+    """All rules but that of title pages, whose layouts SQL cannot express; page_class_full has it. pages: stored evidence, where a query has it for more than classes."""
     rules = [r for r in P.rules("dev") if r[0] != "title_page"]
-    return P.cascade(_context(spark, sf_dir), page_segments(table(spark, sf_dir, "embeddings")), order=rules)
+    return P.cascade(_context(spark, sf_dir) if pages is None else pages, page_segments(table(spark, sf_dir, "embeddings")), order=rules, keep=keep)
 
 
 @query(f"WITH {_CASCADE} SELECT doc_id, page, {', '.join(f'CAST(label = {_quoted(c)} AS INTEGER) AS {c}' for c in V.CLASSES)} FROM cl")
@@ -642,10 +641,10 @@ def title_layout(spark, sf_dir):
 pf AS (SELECT doc_id, page, sum(CASE WHEN n_words > 1 THEN (x1 - x0) * (y1 - y0) + coalesce(others, 0) ELSE 0 END) AS summed, (max(x1) - min(x0)) * (max(y1) - min(y0)) AS extent, avg(x0) AS l, avg(x1) AS r, avg(x1 - x0) AS t, var_pop(n_words) AS v, stddev_pop(x0) AS i,
  sum(len(regexp_extract_all(text, {_quoted(X.PUNCTUATION)}))) / count(*) AS pu, sum(len(regexp_extract_all(text, '\\p{{Lu}}'))) AS up, sum(length(regexp_replace(text, '\\s', '', 'g'))) AS so FROM fl JOIN os USING (doc_id, par, seg) GROUP BY ALL)
 SELECT doc_id, page, {', '.join(f'coalesce(round({e}, 6), 0)::DOUBLE AS {n}' for n, e in (('words_per_line', 'wpl'), ('text_density', 'CASE WHEN pf.extent > 0 THEN summed / pf.extent ELSE 0 END'), ('mean_left', 'l'), ('mean_right', 'r'), ('text_width', 't'), ('line_count', 'n_lines'), ('line_length_variance', 'v'), ('indent_std', 'i'), ('punctuation_per_line', 'pu'), ('capital_ratio', 'CASE WHEN so > 0 THEN up / so ELSE 0 END'), ('has_sidebar', 'CAST(sidebars > 0 AS INT)'), ('has_bore_keyword', 'CAST(bk AS INT)'), ('description_count', 'nm'), ('map_keyword_lines', 'mk'), ('grid_length', 'sf.grid'), ('non_grid_length', 'sf.non_grid'), ('angle_entropy', 'sf.entropy')))} FROM ev JOIN pf USING (doc_id, page) LEFT JOIN sf USING (doc_id, page)""")
-def page_features(spark, sf_dir):
-    context = _context(spark, sf_dir)
+def page_features(spark, sf_dir, found=None):
+    """found: stored evidence of pages with their shape, where a query has it for more than features."""
     stats = P.segment_stats(page_segments(table(spark, sf_dir, "embeddings")), ("doc_id", "page"))
-    return P.features(E.evidence(context), context, stats)
+    return P.features(E.evidence(_context(spark, sf_dir), shape=True) if found is None else found, stats)
 
 
 @query(f"""WITH {_CASCADE} SELECT doc_id, page, label FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY (page * 2654435761) % 1000003, page) AS n FROM cl) WHERE n <= CASE label {' '.join(f'WHEN {_quoted(c)} THEN {n}' for c, n in V.SAMPLE_CAPS.items())} ELSE 1 END""")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as G
 from ..functions import text as X
 from ..functions import vocabulary as V
+from ..storage import stored
 from .evidence import evidence
 
 
@@ -98,18 +99,12 @@ def density(e=F.col) -> Column:
     return F.coalesce(F.try_divide(e("word_area"), e("block_area")), F.lit(0.0))
 
 
-def features(found: DataFrame, pages: DataFrame, stats: DataFrame) -> DataFrame:
+def features(found: DataFrame, stats: DataFrame) -> DataFrame:
     """The 17 features of each page for tree models, in fixed order; pages without lines give zeros.
 
-    found: evidence of pages; stats: segment_stats by doc_id and page of all segments, short ones too.
+    found: evidence of pages with their shape; stats: segment_stats by doc_id and page of all segments, short ones too.
     """
-    n = F.size("lines")
-    text = F.array_join(F.transform("lines", lambda x: x["text"]), " ")
-    mean = lambda f: total("lines", f) / n
-    var = lambda f: F.greatest(total("lines", lambda x: f(x) * f(x)) / n - F.pow(total("lines", f) / n, 2), F.lit(0.0))
-    solid = F.regexp_replace(text, r"\s", "")
-    shape = pages.select("doc_id", "page", mean(lambda x: x["x0"]).alias("mean_left"), mean(lambda x: x["x1"]).alias("mean_right"), mean(lambda x: x["x1"] - x["x0"]).alias("text_width"), var(lambda x: x["n_words"]).alias("line_length_variance"), F.sqrt(var(lambda x: x["x0"])).alias("indent_std"), (F.regexp_count(text, F.lit(X.PUNCTUATION)) / n).alias("punctuation_per_line"), F.coalesce(F.try_divide(F.regexp_count(solid, F.lit(r"\p{Lu}")), F.length(solid)), F.lit(0.0)).alias("capital_ratio"))
-    wide = found.join(shape, ["doc_id", "page"]).join(stats.select("doc_id", "page", "grid", "non_grid", "entropy"), ["doc_id", "page"], "left")
+    wide = found.join(stats.select("doc_id", "page", "grid", "non_grid", "entropy"), ["doc_id", "page"], "left")
     values = {
         "words_per_line": F.col("words_per_line"), "text_density": F.coalesce(F.try_divide("summed_area", "extent_area"), F.lit(0.0)), "mean_left": F.col("mean_left"), "mean_right": F.col("mean_right"), "text_width": F.col("text_width"), "line_count": F.col("n_lines").cast("double"),
         "line_length_variance": F.col("line_length_variance"), "indent_std": F.col("indent_std"), "punctuation_per_line": F.col("punctuation_per_line"), "capital_ratio": F.col("capital_ratio"), "has_sidebar": (F.col("n_sidebars") > 0).cast("double"), "has_bore_keyword": F.col("bore_keyword").cast("double"),
@@ -128,9 +123,15 @@ def segment_stats(segs: DataFrame, keys: tuple[str, ...] = ("page",)) -> DataFra
 
 
 def long_segments(segs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Segments (doc_id, page, ...) longer than the page's mean font size times the root of two, where it has more than seven words; else all."""
-    words = total("lines", lambda x: x["n_words"])
-    font = total("lines", lambda x: F.abs(x["y1"] - x["y0"])) / F.size("lines")
+    """Segments (doc_id, page, ...) longer than the page's mean font size times the root of two, where it has more than seven words; else all.
+
+    pages: rows with lines, or their evidence.
+    """
+    if "lines" in pages.columns:
+        words = total("lines", lambda x: x["n_words"])
+        font = total("lines", lambda x: F.abs(x["y1"] - x["y0"])) / F.size("lines")
+    else:
+        words, font = F.col("n_words"), F.col("mean_font")
     least = pages.select("doc_id", "page", F.when(words > 7, font * 2.0**0.5).alias("_least"))
     length = G.segment_length(*[F.col(c) for c in ("sx", "sy", "ex", "ey")])
     return segs.join(least, ["doc_id", "page"]).where(F.col("_least").isNull() | (length > F.col("_least"))).drop("_least")
@@ -176,22 +177,33 @@ def rules(profile: str = "dev") -> list[tuple[str, Column]]:
     return [("text", text), ("boreprofile", bore), *geo, ("map", on_map), ("title_page", is_title_page())]
 
 
-def cascade(pages: DataFrame, segs: DataFrame | None = None, profile: str = "dev", order: list[tuple[str, Column]] | None = None) -> DataFrame:
-    """doc_id, page, label: the class of the first rule that holds, else unknown.
-
-    pages: text_pages with words and lang; digital, n_drawings and image_boxes where known, else all pages count as scanned. segs: doc_id, page, sx, sy, ex, ey.
-    """
+def evidence_of(pages: DataFrame, shape: bool = False) -> DataFrame:
+    """Evidence of pages with what else the rules read: digital, n_drawings and image_boxes where known, else all pages count as scanned."""
     base = pages
     for name, none in (("digital", F.lit(False)), ("n_drawings", F.lit(0)), ("image_boxes", F.expr("CAST(array() AS array<struct<x0: double, y0: double, x1: double, y1: double>>)"))):
         if name not in base.columns:
             base = base.withColumn(name, none)
     # image boxes go through the pass and stay as columns of their page
-    found = evidence(base.withColumn("_boxes", F.col("image_boxes"))).withColumnRenamed("_boxes", "image_boxes")
+    return evidence(base.withColumn("_boxes", F.col("image_boxes")), shape=shape).withColumnRenamed("_boxes", "image_boxes")
+
+
+def with_line_score(found: DataFrame, segs: DataFrame) -> DataFrame:
+    """Evidence of pages with n and score of their long segments. Evidence is read twice, so it had better be stored."""
+    return found.join(segment_stats(long_segments(segs, found), ("doc_id", "page")).select("doc_id", "page", "n", "score"), ["doc_id", "page"], "left")
+
+
+def cascade(pages: DataFrame, segs: DataFrame | None = None, profile: str = "dev", order: list[tuple[str, Column]] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, page, label: the class of the first rule that holds, else unknown; and the columns to keep.
+
+    pages: text_pages with words and lang; digital, n_drawings and image_boxes where known; or their evidence_of, stored. segs: doc_id, page, sx, sy, ex, ey.
+    """
+    found = evidence_of(pages) if "lines" in pages.columns else pages
     if segs is not None:
-        found = found.join(segment_stats(long_segments(segs, pages), ("doc_id", "page")).select("doc_id", "page", "n", "score"), ["doc_id", "page"], "left")
+        # pages are gone through once, whatever reads their evidence
+        found = with_line_score(stored(found) if "lines" in pages.columns else found, segs)
     else:
         found = found.withColumns({"n": F.lit(None).cast("long"), "score": F.lit(None).cast("double")})
     label = F.lit("unknown")
     for name, rule in reversed(order or rules(profile)):
         label = F.when(rule, name).otherwise(label)
-    return found.select("doc_id", "page", label.alias("label"))
+    return found.select("doc_id", "page", *keep, label.alias("label"))

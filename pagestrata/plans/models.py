@@ -58,7 +58,7 @@ def importance(model, names: list[str]) -> list[tuple[str, float]]:
 
 def page_features(pages: DataFrame, segs: DataFrame) -> DataFrame:
     """The 17 features of pages with words and lang, from the same evidence for training and for prediction; short segments count."""
-    return features(evidence(pages), pages, segment_stats(segs, ("doc_id", "page")))
+    return features(evidence(pages, shape=True), segment_stats(segs, ("doc_id", "page")))
 
 
 def with_targets(found: DataFrame, labels: DataFrame, classes: list[str]) -> DataFrame:

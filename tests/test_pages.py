@@ -433,3 +433,17 @@ def test_evidence_is_the_same_whichever_words_a_line_holds(spark, words):
     bare = text_pages(docs, words=True).withColumn("lines", F.transform("lines", lambda x: x.dropFields("others")))
     plain = E.evidence(E.with_language(bare), shape=True).drop("lang")
     assert sorted(found.collect()) == sorted(plain.collect()) and found.where("n_sidebars > 0 AND clues > 0 AND summed_area > 0").count()
+
+
+def passes(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+
+
+@pytest.mark.parametrize("name", ["page_class_cascade", "geo_profile_flag", "map_flag", "class_samples"])
+def test_pages_are_gone_through_once(spark, name):
+    """What a query makes of evidence, twice or more, reads the stored evidence and never goes through texts again."""
+    assert passes(catalog.QUERIES[name](spark, SF)) == 0
+
+
+def test_features_take_one_pass_over_pages(spark):
+    assert passes(catalog.QUERIES["page_features"](spark, SF)) == 2  # layout and evidence
