@@ -404,11 +404,11 @@ def document_result(spark, sf_dir):
 
 
 def _classified(spark, sf_dir) -> DataFrame:
-    """filename, page, label, language (for the metadata), words, is_frontpage of every page."""
-    pages = _pages(spark, sf_dir).withColumn("text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n")).drop("lines")
-    told = X.with_scores(pages.withColumn("is_frontpage", X.front_page(F.col("text"), V.FRONT_PAGES)), V.STOP_WORDS)
-    told = told.select("doc_id", "page", "words", "is_frontpage", X.metadata_language(F.col("_s"), F.col("words")).alias("language"))
-    return page_class_cascade(spark, sf_dir).join(told, ["doc_id", "page"]).withColumnRenamed("doc_id", "filename")
+    """filename, page, label, language (for the metadata), words, is_frontpage of every page, stored: several steps read them."""
+    pages = _context(spark, sf_dir, metadata=True).withColumn("_text", F.array_join(F.transform("lines", lambda x: x["text"]), "\n"))
+    pages = pages.withColumn("is_frontpage", X.front_page(F.col("_text"), V.FRONT_PAGES)).drop("_text")
+    told = page_class_cascade(spark, sf_dir, stored(P.evidence_of(pages)), ("words", "is_frontpage", "language"))
+    return stored(told.withColumnRenamed("doc_id", "filename"))
 
 
 _STABLE = f"CASE WHEN label IN ({_in(V.STABLE)}) THEN label ELSE 'unknown' END"

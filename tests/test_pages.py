@@ -439,7 +439,7 @@ def passes(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
 
 
-@pytest.mark.parametrize("name", ["page_class_cascade", "geo_profile_flag", "map_flag", "class_samples"])
+@pytest.mark.parametrize("name", ["page_class_cascade", "geo_profile_flag", "map_flag", "class_samples", "document_result"])
 def test_pages_are_gone_through_once(spark, name):
     """What a query makes of evidence, twice or more, reads the stored evidence and never goes through texts again."""
     assert passes(catalog.QUERIES[name](spark, SF)) == 0
@@ -447,3 +447,9 @@ def test_pages_are_gone_through_once(spark, name):
 
 def test_features_take_one_pass_over_pages(spark):
     assert passes(catalog.QUERIES["page_features"](spark, SF)) == 2  # layout and evidence
+
+
+def test_front_pages_by_any_of_their_groups(spark):
+    texts = ["", "a", *[" ".join(g[-1] for g in t[:k]) for t in V.FRONT_PAGES for k in range(1, len(t) + 1)], *[" ".join(g[0] for g in t[-k:]) for t in V.FRONT_PAGES for k in range(1, len(t) + 1)]]
+    got = spark.createDataFrame([(x,) for x in texts], "text string").select("text", X.front_page(F.col("text"), V.FRONT_PAGES).alias("front")).collect()
+    assert all(r.front == any(10 * sum(any(x in r.text for x in g) for g in t) >= 7 * len(t) for t in V.FRONT_PAGES) for r in got) and {r.front for r in got} == {True, False}
