@@ -700,8 +700,9 @@ def _trained(spark, sf_dir):
     """A small forest that learns the classes of the rules from the 17 features, and the features."""
     from .plans import models as M
 
-    found = page_features(spark, sf_dir).persist()
-    wanted = M.with_targets(found, page_class_cascade(spark, sf_dir), V.CLASSES)
+    pages = stored(P.evidence_of(_context(spark, sf_dir), shape=True))  # pages are gone through once, for features and classes
+    found = stored(page_features(spark, sf_dir, pages))
+    wanted = stored(M.with_targets(found, page_class_cascade(spark, sf_dir, pages), V.CLASSES))  # training reads it again and again
     return M, found, M.train(wanted, M.random_forest(trees=20, depth=8))
 
 

@@ -439,7 +439,7 @@ def passes(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
 
 
-@pytest.mark.parametrize("name", ["page_class_cascade", "geo_profile_flag", "map_flag", "class_samples", "document_result"])
+@pytest.mark.parametrize("name", ["page_class_cascade", "geo_profile_flag", "map_flag", "class_samples", "document_result", "tree_model_predictions"])
 def test_pages_are_gone_through_once(spark, name):
     """What a query makes of evidence, twice or more, reads the stored evidence and never goes through texts again."""
     assert passes(catalog.QUERIES[name](spark, SF)) == 0
@@ -449,6 +449,16 @@ def test_features_take_one_pass_over_pages(spark):
     assert passes(catalog.QUERIES["page_features"](spark, SF)) == 2  # layout and evidence
 
 
+def test_training_reads_stored_rows(spark, monkeypatch):
+    from pagestrata.plans import models as M
+
+    given = []
+    monkeypatch.setattr(M, "train", lambda rows, _: given.append(rows))
+    catalog._trained(spark, SF)
+    plan = given[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" not in plan and given[0].count()
+
+
 def test_front_pages_by_any_of_their_groups(spark):
     texts = ["", "a", *[" ".join(g[-1] for g in t[:k]) for t in V.FRONT_PAGES for k in range(1, len(t) + 1)], *[" ".join(g[0] for g in t[-k:]) for t in V.FRONT_PAGES for k in range(1, len(t) + 1)]]
     got = spark.createDataFrame([(x,) for x in texts], "text string").select("text", X.front_page(F.col("text"), V.FRONT_PAGES).alias("front")).collect()
